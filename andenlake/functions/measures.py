@@ -16,7 +16,7 @@ GROWTH_GOAL_PCT = 15
 def half_up(c: Column, places: int) -> Column:
     """Round half up to ``places``, on decimals so that every engine agrees at ties."""
     digits = 8 if places > 2 else 6
-    return F.round(c.cast(f"decimal(20,{digits})"), places).cast("double")
+    return F.round(c.cast(f"decimal(38,{digits})"), places).cast("double")
 
 
 def ratio(num: Column, den: Column) -> Column:

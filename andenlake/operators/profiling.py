@@ -13,6 +13,15 @@ from andenlake.functions import text as t
 from andenlake.operators.joins import scalar
 
 
+def _mean(c: Column, kind: T.DataType) -> Column:
+    """Mean from an exact sum where the type allows one: a sum of doubles would
+    depend on the order of the rows."""
+    if isinstance(kind, T.FractionalType) and not isinstance(kind, T.DecimalType):
+        return F.avg(c)
+    exact = c if isinstance(kind, T.DecimalType) else c.cast("decimal(20,0)")
+    return m.ratio(F.sum(exact), F.count(c))
+
+
 def _column_metrics(field: T.StructField) -> dict[str, Column]:
     """Aggregates of one column; those that do not apply to its type are null."""
     c = F.col(field.name)
@@ -25,7 +34,7 @@ def _column_metrics(field: T.StructField) -> dict[str, Column]:
         "mayusculas_mixtas": F.count_if(t.is_irregular_case(c)) if is_text else no_count,
         "minimo": F.min(c).cast("double") if is_number else no_value,
         "maximo": F.max(c).cast("double") if is_number else no_value,
-        "media": F.avg(c).cast("double") if is_number else no_value,
+        "media": _mean(c, field.dataType) if is_number else no_value,
     }
 
 

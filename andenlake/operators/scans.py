@@ -1,0 +1,18 @@
+"""Scan parallelism."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+MAX_SCAN_TASKS = 32
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-spread a scan that has far fewer tasks than there are cores.
+
+    A small table in one unsplittable file would keep one core busy. Scans of
+    more than ``MAX_SCAN_TASKS`` tasks are left alone, so what is shuffled is
+    bounded by that many input splits; a large table never is.
+    """
+    tasks, cores = df.rdd.getNumPartitions(), df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if 2 * tasks <= min(cores, 2 * MAX_SCAN_TASKS) else df

@@ -23,8 +23,8 @@ class Gold:
     time key, which spells the date; with it they come from an inner join."""
 
     fact_ventas: DataFrame
-    dim_ruta: DataFrame
-    dim_empresa: DataFrame
+    dim_ruta: DataFrame | None = None
+    dim_empresa: DataFrame | None = None
     dim_tiempo: DataFrame | None = None
 
     def timed(self, *columns: str) -> DataFrame:
@@ -51,19 +51,30 @@ class Gold:
         return replace(self, fact_ventas=self.fact_ventas.filter(in_year))
 
 
-def _cells(rows: DataFrame, *keys: str) -> DataFrame:
-    """Additive measures per key; unused ones are pruned by the optimizer."""
+def _measure(name: str) -> Column:
     sold, lost = F.col("es_cancelado") == 0, F.col("es_cancelado") == 1
-    return rows.groupBy(*keys).agg(
-        F.count("*").alias("n"),
-        F.count_if(sold).alias("n_sold"),
-        F.count_if(lost).alias("n_lost"),
-        m.sum_when(sold, F.col("monto_pagado")).alias("paid"),
-        m.sum_when(sold, F.col("capacidad_unidad").cast("bigint")).alias("seats"),
-        m.sum_when(sold, F.col("distancia_km").cast("bigint")).alias("km"),
-        m.sum_when(lost, F.col("tarifa_base")).alias("lost_fare"),
-        F.sum("tarifa_base").alias("list_fare"),
-        F.sum("cepal_volumen_pasajeros_km").alias("volume"))
+    if name == "n":
+        return F.count("*")
+    if name == "n_sold":
+        return F.count_if(sold)
+    if name == "n_lost":
+        return F.count_if(lost)
+    if name == "paid":
+        return m.sum_when(sold, F.col("monto_pagado"))
+    if name == "seats":
+        return m.sum_when(sold, F.col("capacidad_unidad").cast("bigint"))
+    if name == "km":
+        return m.sum_when(sold, F.col("distancia_km").cast("bigint"))
+    if name == "lost_fare":
+        return m.sum_when(lost, F.col("tarifa_base"))
+    if name == "list_fare":
+        return F.sum("tarifa_base")
+    return F.sum("cepal_volumen_pasajeros_km")  # "volume"
+
+
+def _cells(rows: DataFrame, keys: list[str], measures: str) -> DataFrame:
+    """Additive measures per key, the first and only pass over the fact rows."""
+    return rows.groupBy(*keys).agg(*[_measure(n).alias(n) for n in measures.split()])
 
 
 def _sum(name: str, out: str | None = None) -> Column:
@@ -76,7 +87,7 @@ def occupancy(gold: Gold) -> DataFrame:
     Seats are counted once per ticket, as the view is defined; the rate is
     therefore about 100 / seats per bus and not a load factor.
     """
-    cells = _cells(gold.timed("anio", "mes"), "sk_ruta", "anio", "mes")
+    cells = _cells(gold.timed("anio", "mes"), ["sk_ruta", "anio", "mes"], "n_sold seats paid")
     route = gold.dim_ruta.select(
         "sk_ruta", F.col("ciudad_origen").alias("origen"), F.col("ciudad_destino").alias("destino"),
         "tipo_corredor", "distancia_km", "tarifa_base")
@@ -98,7 +109,8 @@ def occupancy(gold: Gold) -> DataFrame:
 
 def revenue_per_km(gold: Gold) -> DataFrame:
     """KPI 2: revenue per passenger-kilometre, per route and quarter."""
-    cells = _cells(gold.timed("anio", "trimestre"), "sk_ruta", "anio", "trimestre")
+    cells = _cells(gold.timed("anio", "trimestre"), ["sk_ruta", "anio", "trimestre"],
+                   "n n_sold paid km volume list_fare")
     route = gold.dim_ruta.select("sk_ruta", "ciudad_origen", "ciudad_destino", "tipo_corredor",
                                  "distancia_km")
     groups = (cells.join(route, "sk_ruta")
@@ -126,7 +138,7 @@ def seasonal_index(gold: Gold, by_month: bool = False) -> DataFrame:
     periods a year. ``by_month=True`` gives plain calendar months instead.
     """
     flags = [] if by_month else ["es_semana_santa", "es_feria_tarija", "es_fin_anio"]
-    periods = _cells(gold.timed("anio", "mes", *flags), "anio", "mes", *flags)
+    periods = _cells(gold.timed("anio", "mes", *flags), ["anio", "mes", *flags], "n_sold n_lost paid")
     year = Window.partitionBy("anio")  # at most a few dozen rows a year
     tickets = F.col("n_sold")
     rated = periods.withColumns({
@@ -149,7 +161,8 @@ def seasonal_index(gold: Gold, by_month: bool = False) -> DataFrame:
 
 def cancellations(gold: Gold) -> DataFrame:
     """KPI 4: cancelled tickets and lost revenue, per company and month."""
-    cells = _cells(gold.timed("anio", "mes"), "sk_empresa", "anio", "mes")
+    cells = _cells(gold.timed("anio", "mes"), ["sk_empresa", "anio", "mes"],
+                   "n n_lost n_sold lost_fare paid")
     company = gold.dim_empresa.select("sk_empresa", "nombre_empresa", "tipo_empresa",
                                       "estado_empresa")
     groups = (cells.join(company, "sk_empresa")
@@ -181,7 +194,7 @@ def growth_from_years(years: DataFrame) -> DataFrame:
 
 def yearly_growth(gold: Gold) -> DataFrame:
     """OKR: revenue growth per year against the 15 % goal."""
-    years = _cells(gold.timed("anio"), "anio").select(
+    years = _cells(gold.timed("anio"), ["anio"], "n_sold n_lost paid").select(
         "anio", F.col("n_sold").alias("total_pasajes"),
         F.col("paid").alias("ingreso_total_bs"), F.col("n_lost").alias("total_cancelados"))
     return growth_from_years(years)

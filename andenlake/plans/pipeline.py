@@ -134,9 +134,7 @@ def build_gold(spark: SparkSession, silver: str, gold: str, strict: bool = True,
     dims = {name: spark.read.schema(schema).parquet(f"{gold}/{name}")
             for name, schema in schemas.GOLD.items() if name.startswith("dim_")}
     tickets = gold_tickets(spark, silver, use_itineraries)
-    write_fact(star.fact_ventas(tickets, dims["dim_tiempo"], dims["dim_ruta"],
-                                dims["dim_empresa"], dims["dim_pasajero"], dims["dim_unidad"]),
-               gold)
+    write_fact(star.fact_ventas(tickets, dims["dim_tiempo"], dims), gold)
     report = quality.gold_report(read_gold(spark, gold))
     if strict:
         quality.enforce(report)

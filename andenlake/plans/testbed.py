@@ -16,10 +16,27 @@ from pyspark.sql import functions as F
 from andenlake.operators import cleaning, star
 from andenlake.operators.enrich import integrate
 from andenlake.operators.numbering import sparse_numbers
+from andenlake.operators.scans import spread
 from andenlake.plans.kpis import Gold
 
-DRIVER_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
-                 "events"]
+DRIVER_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+                "c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+            "p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+                "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+                "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+              "value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+}
+DRIVER_TABLES = [name for name in DRIVER_SCHEMAS if name != "documents"]
 RUN_DATE = dt.date(2026, 4, 7)
 
 SPARK = {
@@ -140,8 +157,10 @@ SELECT {ticket_id} AS id_venta,
        CASE WHEN l_linenumber % 3 <> 0 THEN concat('Obs ', l_linestatus) END AS observaciones,
        l_partkey AS id_unidad
 FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey
-LEFT JOIN {customer} ON o_custkey = c_custkey
-LEFT JOIN {supplier} ON l_suppkey = s_suppkey""",
+LEFT JOIN (SELECT c_custkey, max(c_nationkey) AS c_nationkey FROM {customer} GROUP BY c_custkey) c
+    ON o_custkey = c_custkey
+LEFT JOIN (SELECT s_suppkey, max(s_nationkey) AS s_nationkey FROM {supplier} GROUP BY s_suppkey) s
+    ON l_suppkey = s_suppkey""",
     "cepal_transporte_pasajeros": """
 SELECT 3906 AS indicador_id,
        'Volumen de transporte' AS indicador_nombre,
@@ -163,7 +182,7 @@ FROM (SELECT anio, total, {two} AS pais
       FROM (SELECT year(cast(o_orderdate AS date)) AS anio,
                    sum(cast(o_totalprice AS decimal(18,2))) AS total
             FROM {orders}
-            WHERE o_orderstatus = 'F' AND o_orderdate < timestamp '2000-01-01 00:00:00'
+            WHERE o_orderstatus = 'F' AND cast(o_orderdate AS date) < date '2000-01-01'
             GROUP BY year(cast(o_orderdate AS date))) y) x""",
 }
 
@@ -177,14 +196,16 @@ def mapping_sql(table: str, words: dict[str, str], names: dict[str, str]) -> str
 
 
 def driver_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(DRIVER_SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def raw_table(spark: SparkSession, folder: str, table: str) -> DataFrame:
     """An operational table in its raw state."""
     text = mapping_sql(table, SPARK, {n: f"{{{n}}}" for n in DRIVER_TABLES})
-    used = [n for n in DRIVER_TABLES if f"{{{n}}}" in text]
-    return spark.sql(text, **{n: driver_table(spark, folder, n) for n in used})
+    used = {n: driver_table(spark, folder, n) for n in DRIVER_TABLES if f"{{{n}}}" in text}
+    if "lineitem" in used:
+        used["lineitem"] = spread(used["lineitem"], "l_orderkey", "l_partkey", "l_suppkey")
+    return spark.sql(text, **used)
 
 
 def raw_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
@@ -204,35 +225,39 @@ def integrated(spark: SparkSession, folder: str) -> DataFrame:
                      clean_table(spark, folder, "cepal_transporte_pasajeros"))
 
 
-def dimensions(spark: SparkSession, folder: str, **numbering) -> dict[str, DataFrame]:
-    """The four dimensions looked up by natural id."""
-    clean = {n: clean_table(spark, folder, n)
-             for n in ("geografia", "rutas", "empresas", "pasajeros", "unidades_flota")}
-    return {
-        "dim_ruta": star.dim_ruta(clean["rutas"], clean["geografia"], **numbering),
-        "dim_empresa": star.dim_empresa(clean["empresas"], **numbering),
-        "dim_pasajero": star.dim_pasajero(clean["pasajeros"], clean["geografia"], **numbering),
-        "dim_unidad": star.dim_unidad(clean["unidades_flota"], **numbering),
-    }
+def dimension(spark: SparkSession, folder: str, name: str, **numbering) -> DataFrame:
+    """One dimension over cleaned tables."""
+    def clean(table: str) -> DataFrame:
+        return clean_table(spark, folder, table)
+
+    if name == "dim_ruta":
+        return star.dim_ruta(clean("rutas"), clean("geografia"), **numbering)
+    if name == "dim_empresa":
+        return star.dim_empresa(clean("empresas"), **numbering)
+    if name == "dim_pasajero":
+        return star.dim_pasajero(clean("pasajeros"), clean("geografia"), **numbering)
+    return star.dim_unidad(clean("unidades_flota"), **numbering)
+
+
+LOOKED_UP = ["dim_ruta", "dim_empresa", "dim_pasajero", "dim_unidad"]
 
 
-def live_gold(spark: SparkSession, folder: str, with_benchmark: bool = False) -> Gold:
-    """The star as one lazy plan over the driver tables, nothing written."""
-    dims = dimensions(spark, folder, number=sparse_numbers)
+def live_gold(spark: SparkSession, folder: str, dims: str = "",
+              with_benchmark: bool = False) -> Gold:
+    """The part of the star a view needs, as one lazy plan over the driver
+    tables with nothing written. ``dims`` names the dimensions looked up."""
+    used = {f"dim_{d}": dimension(spark, folder, f"dim_{d}", number=sparse_numbers)
+            for d in dims.split()}
     tickets = (integrated(spark, folder) if with_benchmark
                else clean_table(spark, folder, "ventas_pasajes"))
-    fact = star.fact_rows(tickets, None, dims["dim_ruta"], dims["dim_empresa"],
-                          dims["dim_pasajero"], dims["dim_unidad"])
-    return Gold(fact, dims["dim_ruta"], dims["dim_empresa"])
+    return Gold(star.fact_rows(tickets, used), used.get("dim_ruta"), used.get("dim_empresa"))
 
 
 def gold_frames(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """All seven gold tables with dense keys, as the pipeline stores them."""
-    ventas = clean_table(spark, folder, "ventas_pasajes")
-    tiempo = star.dim_tiempo(ventas)
-    dims = dimensions(spark, folder)
-    fact = star.fact_ventas(integrated(spark, folder), tiempo, dims["dim_ruta"],
-                            dims["dim_empresa"], dims["dim_pasajero"], dims["dim_unidad"])
+    tiempo = star.dim_tiempo(clean_table(spark, folder, "ventas_pasajes"))
+    dims = {name: dimension(spark, folder, name) for name in LOOKED_UP}
+    fact = star.fact_ventas(integrated(spark, folder), tiempo, dims)
     return {"dim_tiempo": tiempo, **dims, "dim_canal": star.dim_canal(spark),
             "fact_ventas": fact}
 
