@@ -28,11 +28,15 @@ def lookup(facts: DataFrame, dim: DataFrame, fact_key: str, natural_key: str,
     are null; the caller fills its defaults.
     """
     carry = carry or {}
-    found = F.max(F.struct(surrogate_key, *carry)).alias("found")
-    keyed = (dim.filter(F.col(natural_key).isNotNull())
-             .groupBy(F.col(natural_key).alias("__key")).agg(found)
-             .select("__key", F.col(f"found.{surrogate_key}").alias(surrogate_key),
-                     *[F.col(f"found.{src}").alias(out) for src, out in carry.items()]))
+    groups = (dim.filter(F.col(natural_key).isNotNull())
+              .groupBy(F.col(natural_key).alias("__key")))
+    if carry:
+        found = F.max(F.struct(surrogate_key, *carry)).alias("found")
+        keyed = groups.agg(found).select(
+            "__key", F.col(f"found.{surrogate_key}").alias(surrogate_key),
+            *[F.col(f"found.{src}").alias(out) for src, out in carry.items()])
+    else:
+        keyed = groups.agg(F.max(surrogate_key).alias(surrogate_key))
     return facts.join(keyed, F.col(fact_key) == F.col("__key"), "left").drop("__key")
 
 

@@ -88,15 +88,16 @@ def company_share(ventas: DataFrame, empresas: DataFrame) -> DataFrame:
     """Tickets, revenue and market share per company name.
 
     The grand total is a one-row subquery: a window over all companies would
-    pull them into a single task.
+    pull them into a single task. It sums the same two columns as the ranking,
+    so both read one shuffle of the per-company rows.
     """
     per_company = ventas.groupBy("id_empresa").agg(F.count("*").alias("n"),
                                                    F.sum("monto_pagado").alias("paid"))
     named = per_company.join(empresas.select("id_empresa", "nombre_empresa"), "id_empresa")
     ranking = named.groupBy("nombre_empresa").agg(F.sum("n").alias("total_pasajes"),
                                                   F.sum("paid").alias("ingresos"))
-    total = scalar(named.agg(F.sum("paid")))
-    return ranking.withColumn("porcentaje", m.percentage(F.col("ingresos"), total))
+    total = scalar(named.agg(F.struct(F.sum("paid").alias("paid"), F.sum("n").alias("n"))))
+    return ranking.withColumn("porcentaje", m.percentage(F.col("ingresos"), total["paid"]))
 
 
 def top_company(share: DataFrame) -> DataFrame:

@@ -18,6 +18,7 @@ from andenlake.operators.enrich import integrate
 from andenlake.operators.numbering import sparse_numbers
 from andenlake.operators.scans import spread
 from andenlake.plans.kpis import Gold
+from andenlake.session import written
 
 DRIVER_SCHEMAS = {
     "region": "r_regionkey int, r_name string",
@@ -254,9 +255,10 @@ def live_gold(spark: SparkSession, folder: str, dims: str = "",
 
 
 def gold_frames(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """All seven gold tables with dense keys, as the pipeline stores them."""
-    tiempo = star.dim_tiempo(clean_table(spark, folder, "ventas_pasajes"))
-    dims = {name: dimension(spark, folder, name) for name in LOOKED_UP}
+    """All seven gold tables with dense keys. As in the pipeline the dimensions
+    are written first, so the lookups know their sizes."""
+    tiempo = written(star.dim_tiempo(clean_table(spark, folder, "ventas_pasajes")), "dim_tiempo")
+    dims = {name: written(dimension(spark, folder, name), name) for name in LOOKED_UP}
     fact = star.fact_ventas(integrated(spark, folder), tiempo, dims)
     return {"dim_tiempo": tiempo, **dims, "dim_canal": star.dim_canal(spark),
             "fact_ventas": fact}

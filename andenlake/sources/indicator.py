@@ -36,8 +36,13 @@ def land_documents(documents: DataFrame, root: str, name: str, ingest_date: dt.d
 
 
 def parse(documents: DataFrame, text: str = "documento") -> DataFrame:
-    """Add the parsed envelope as ``payload``; broken text gives null fields."""
-    return documents.withColumn("payload", F.from_json(F.col(text), PAYLOAD))
+    """Add the parsed envelope as ``payload``; broken text gives null fields.
+
+    The one-element explode keeps later filters above the parser; pushed below
+    it they would parse the text again for every field they look at.
+    """
+    parsed = F.array(F.from_json(F.col(text), PAYLOAD))
+    return documents.select("*", F.explode(parsed).alias("payload"))
 
 
 def envelope_status() -> Column:
