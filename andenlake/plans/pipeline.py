@@ -114,7 +114,7 @@ def read_gold(spark: SparkSession, gold: str) -> dict[str, DataFrame]:
     the files, so Spark itself decides what to broadcast."""
     def schema(name: str) -> T.StructType:
         declared = T.StructType(list(schemas.GOLD[name].fields))
-        return declared.add("anio", "int") if name == "fact_ventas" else declared
+        return declared.add("anio", T.IntegerType()) if name == "fact_ventas" else declared
 
     return {name: spark.read.schema(schema(name)).parquet(f"{gold}/{name}")
             for name in schemas.GOLD}

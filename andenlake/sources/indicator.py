@@ -23,7 +23,7 @@ UNKNOWN = "Desconocido"
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """Raw documents, one row per file, text unmodified."""
-    return (spark.read.option("wholetext", True).text(path)
+    return (spark.read.text(path, wholetext=True)
             .select(F.input_file_name().alias("archivo"), F.col("value").alias("documento")))
 
 
