@@ -51,12 +51,21 @@ def month_bucket(date: Column | str) -> Column:
     return F.date_format(column(date), "yyyy-MM")
 
 
+def _label(labels: list[str], number: Column | str) -> Column:
+    """The n-th label; the split of a literal is folded into a constant array."""
+    return F.element_at(F.split(F.lit(",".join(labels)), ","), column(number))
+
+
 def month_name(month: Column | str) -> Column:
-    return F.element_at(F.array(*map(F.lit, MONTHS)), column(month))
+    return _label(MONTHS, month)
+
+
+def month_number(name: Column | str) -> Column:
+    return F.array_position(F.split(F.lit(",".join(MONTHS)), ","), column(name)).cast("int")
 
 
 def weekday_name(weekday: Column | str) -> Column:
-    return F.element_at(F.array(*map(F.lit, WEEKDAYS)), column(weekday))
+    return _label(WEEKDAYS, weekday)
 
 
 def season(month: Column | str) -> Column:
@@ -99,10 +108,12 @@ def attributes(date: Column | str) -> dict[str, Column]:
     }
 
 
-def key_attributes(key: Column | str) -> dict[str, Column]:
-    """``attributes`` for rows that carry only the key; year and month stay
-    integer arithmetic because most groupings need no more than those."""
-    derived = attributes(key_date(key))
-    derived.pop("sk_tiempo")
+def key_attributes(key: Column | str, names: tuple[str, ...]) -> dict[str, Column]:
+    """The named attributes for rows that carry only the key. Year, quarter and
+    month, which most groupings need, stay integer arithmetic."""
     month = key_month(key)
-    return {**derived, "anio": key_year(key), "mes": month, "trimestre": quarter_of(month)}
+    simple = {"anio": key_year(key), "mes": month, "trimestre": quarter_of(month)}
+    if set(names) <= set(simple):
+        return {n: simple[n] for n in names}
+    derived = {**attributes(key_date(key)), **simple}
+    return {n: derived[n] for n in names}

@@ -63,7 +63,7 @@ def phone(c: Column | str) -> Column:
 def passenger_name(c: Column | str) -> Column:
     """Fill a missing name, strip, squeeze whitespace runs, upper-case."""
     filled = strip(F.coalesce(column(c), F.lit("SIN REGISTRO")))
-    return F.upper(F.regexp_replace(filled, r"(?U)[\s\x1c-\x1f]+", " "))
+    return F.upper(F.regexp_replace(filled, f"[{WHITESPACE}]+", " "))
 
 
 def has_outer_space(c: Column | str) -> Column:

@@ -30,8 +30,7 @@ class Gold:
     def timed(self, *columns: str) -> DataFrame:
         """Fact rows with the named calendar columns."""
         if self.dim_tiempo is None:
-            derived = cal.key_attributes("sk_tiempo")
-            return self.fact_ventas.withColumns({c: derived[c] for c in columns})
+            return self.fact_ventas.withColumns(cal.key_attributes("sk_tiempo", columns))
         # A fact written by year already carries that column.
         fact = self.fact_ventas.drop(*columns)
         return fact.join(self.dim_tiempo.select("sk_tiempo", *columns), "sk_tiempo")

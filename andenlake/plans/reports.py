@@ -168,9 +168,8 @@ def season_peak_valley(season: DataFrame) -> DataFrame:
 
 def _top_cancellation_rows(gold: Gold, k: int) -> DataFrame:
     # Ties are listed in calendar order.
-    month = F.array_position(F.array(*map(F.lit, cal.MONTHS)), F.col("nombre_mes"))
     return (kpis.cancellations(gold.latest_year())
-            .withColumn("num_mes", month)
+            .withColumn("num_mes", cal.month_number("nombre_mes"))
             .orderBy(F.desc("tasa_cancelacion_pct"), "nombre_empresa", "num_mes",
                      "tipo_empresa", "estado_empresa")
             .limit(k))

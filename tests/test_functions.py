@@ -67,8 +67,9 @@ def test_calendar_attributes(spark):
 
 def test_key_attributes_equal_date_attributes(spark):
     df = spark.createDataFrame([(d,) for d in DAYS], "d date").withColumn("k", cal.date_key("d"))
-    by_date, by_key = cal.attributes("d"), cal.key_attributes("k")
-    for name, expression in by_key.items():
+    by_date = cal.attributes("d")
+    assert list(cal.key_attributes("k", ("mes", "anio"))) == ["mes", "anio"]
+    for name, expression in cal.key_attributes("k", tuple(by_date)).items():
         pairs = df.select(by_date[name].alias("a"), expression.alias("b")).collect()
         assert all(r.a == r.b for r in pairs), name
 
