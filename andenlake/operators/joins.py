@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from andenlake.session import written
+
 BROADCAST_MAX_ROWS = 100_000
 
 
@@ -20,23 +22,28 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Dat
 
 
 def lookup(facts: DataFrame, dim: DataFrame, fact_key: str, natural_key: str,
-           surrogate_key: str, carry: dict[str, str] | None = None) -> DataFrame:
+           surrogate_key: str, carry: dict[str, str] | None = None,
+           unique: bool = False) -> DataFrame:
     """Left join natural key → surrogate key (plus carried attributes).
 
     A natural key that occurs twice in the dimension resolves to its last
-    surrogate key, so a fact row never multiplies. Columns of a missed lookup
-    are null; the caller fills its defaults.
+    surrogate key, so a fact row never multiplies. That key table is written
+    first; ``unique=True`` skips this where the natural key is known to be one.
+    Either way nothing stands between the join and its shuffles: only then can
+    AQE split the partition of a hot fact key (an aggregate on the dimension
+    side would prevent it). Small dimensions are broadcast by their file size.
+    Columns of a missed lookup are null; the caller fills its defaults.
     """
-    carry = carry or {}
-    groups = (dim.filter(F.col(natural_key).isNotNull())
-              .groupBy(F.col(natural_key).alias("__key")))
-    if carry:
-        found = F.max(F.struct(surrogate_key, *carry)).alias("found")
-        keyed = groups.agg(found).select(
-            "__key", F.col(f"found.{surrogate_key}").alias(surrogate_key),
-            *[F.col(f"found.{src}").alias(out) for src, out in carry.items()])
+    names = {surrogate_key: surrogate_key, **(carry or {})}
+    known = dim.filter(F.col(natural_key).isNotNull())
+    if unique:
+        keyed = known.select(F.col(natural_key).alias("__key"),
+                             *[F.col(src).alias(out) for src, out in names.items()])
     else:
-        keyed = groups.agg(F.max(surrogate_key).alias(surrogate_key))
+        last = known.groupBy(F.col(natural_key).alias("__key")).agg(
+            F.max(F.struct(*names)).alias("found"))
+        keyed = written(last.select("__key", *[F.col(f"found.{src}").alias(out)
+                                               for src, out in names.items()]), "lookup")
     return facts.join(keyed, F.col(fact_key) == F.col("__key"), "left").drop("__key")
 
 

@@ -87,9 +87,10 @@ def _or_literal(df: DataFrame, name: str, default: object) -> Column:
 
 
 def fact_rows(tickets: DataFrame, dims: dict[str, DataFrame],
-              tiempo: DataFrame | None = None) -> DataFrame:
+              tiempo: DataFrame | None = None, unique: bool = False) -> DataFrame:
     """Ticket-grain fact with the keys and copied measures of the given
     dimensions; a view that needs no buses leaves ``dim_unidad`` out.
+    ``unique`` says that no source id occurs twice in a dimension.
 
     The time key is spelled by the date itself; ``tiempo`` is only needed to
     send dates outside the dimension to the default key, and may be omitted
@@ -114,42 +115,44 @@ def fact_rows(tickets: DataFrame, dims: dict[str, DataFrame],
     if tiempo is not None:
         known = tiempo.select(F.col("sk_tiempo").alias("__id"),
                               F.col("sk_tiempo").alias("__known"))
-        df = lookup(df, known, "__day", "__id", "__known")
+        df = lookup(df, known, "__day", "__id", "__known", unique=True)
         columns["sk_tiempo"] = F.coalesce("__known", F.lit(DEFAULT_TIME_KEY))
     if "dim_ruta" in dims:
         df = lookup(df, dims["dim_ruta"], "id_ruta", "id_ruta_origen", "sk_ruta",
-                    {"distancia_km": "__km", "tarifa_base": "__fare"})
+                    {"distancia_km": "__km", "tarifa_base": "__fare"}, unique)
         columns |= {"sk_ruta": F.coalesce("sk_ruta", F.lit(DEFAULT_KEY)),
                     "tarifa_base": F.coalesce("__fare", F.lit(0)),
                     "distancia_km": km,
                     "ingreso_por_km": m.ratio(F.col("monto_pagado"), km)}
     for name, fk in (("empresa", "id_empresa"), ("pasajero", "id_pasajero")):
         if f"dim_{name}" in dims:
-            df = lookup(df, dims[f"dim_{name}"], fk, f"{fk}_origen", f"sk_{name}")
+            df = lookup(df, dims[f"dim_{name}"], fk, f"{fk}_origen", f"sk_{name}",
+                        unique=unique)
             columns[f"sk_{name}"] = F.coalesce(f"sk_{name}", F.lit(DEFAULT_KEY))
     if "dim_unidad" in dims:
-        df, columns["sk_unidad"], columns["capacidad_unidad"] = _bus(df, dims["dim_unidad"])
+        df, columns["sk_unidad"], columns["capacidad_unidad"] = _bus(
+            df, dims["dim_unidad"], unique)
     if "sk_venta" in tickets.columns:
         columns["sk_venta"] = F.col("sk_venta")
     return df.select(*[c.alias(name) for name, c in columns.items()])
 
 
-def _bus(tickets: DataFrame, unidad: DataFrame) -> tuple[DataFrame, Column, Column]:
+def _bus(tickets: DataFrame, unidad: DataFrame, unique: bool) -> tuple[DataFrame, Column, Column]:
     """Bus key and seats. A missed bus is counted as bus 1, with its seats."""
     first = scalar(unidad.filter(F.col("sk_unidad") == DEFAULT_KEY)
                    .agg(F.max("capacidad_asientos")))
     if "id_unidad" not in tickets.columns:
         return tickets, F.lit(DEFAULT_KEY), F.coalesce(first, F.lit(DEFAULT_SEATS))
     df = lookup(tickets, unidad, "id_unidad", "id_unidad_origen", "sk_unidad",
-                {"capacidad_asientos": "__seats"})
+                {"capacidad_asientos": "__seats"}, unique)
     seats = F.when(F.col("sk_unidad").isNull(), first).otherwise(F.col("__seats"))
     return (df, F.coalesce("sk_unidad", F.lit(DEFAULT_KEY)),
             F.coalesce(seats, F.lit(DEFAULT_SEATS)))
 
 
 def fact_ventas(tickets: DataFrame, tiempo: DataFrame | None, dims: dict[str, DataFrame],
-                number: Numbering = dense_numbers) -> DataFrame:
+                number: Numbering = dense_numbers, unique: bool = False) -> DataFrame:
     """The complete fact. Tickets are numbered before the lookups, so that the
     sampling pass of the range partitioning repeats a scan and not the joins."""
     numbered = number(tickets, "sk_venta", ["id_venta"])
-    return conform(fact_rows(numbered, dims, tiempo), GOLD["fact_ventas"])
+    return conform(fact_rows(numbered, dims, tiempo, unique), GOLD["fact_ventas"])

@@ -48,6 +48,11 @@ SPARK = {
 _TICKET_ID = ("concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey, "
               "cast(l_quantity AS int), cast(l_shipdate AS date))")
 
+# The route of a ticket is the pair of the company's and the passenger's city.
+_ROUTE = "cast(s_nationkey * 25 + c_nationkey AS bigint)"
+_ROUTE_JOINS = """LEFT JOIN {customer} ON o_custkey = c_custkey
+LEFT JOIN {supplier} ON l_suppkey = s_suppkey"""
+
 RAW_SQL = {
     "geografia": """
 SELECT cast(n_nationkey AS bigint) AS id_ciudad,
@@ -132,7 +137,7 @@ FROM {part}""",
 SELECT {ticket_id} AS id_venta,
        l_partkey AS id_itinerario,
        o_custkey AS id_pasajero,
-       cast(s_nationkey * 25 + c_nationkey AS bigint) AS id_ruta,
+       {route} AS id_ruta,
        l_suppkey AS id_empresa,
        CASE WHEN l_orderkey % 97 = 13 THEN 'sin fecha'
             ELSE cast(cast(o_orderdate AS date) AS string) END AS fecha_venta,
@@ -158,10 +163,7 @@ SELECT {ticket_id} AS id_venta,
        CASE WHEN l_linenumber % 3 <> 0 THEN concat('Obs ', l_linestatus) END AS observaciones,
        l_partkey AS id_unidad
 FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey
-LEFT JOIN (SELECT c_custkey, max(c_nationkey) AS c_nationkey FROM {customer} GROUP BY c_custkey) c
-    ON o_custkey = c_custkey
-LEFT JOIN (SELECT s_suppkey, max(s_nationkey) AS s_nationkey FROM {supplier} GROUP BY s_suppkey) s
-    ON l_suppkey = s_suppkey""",
+{route_joins}""",
     "cepal_transporte_pasajeros": """
 SELECT 3906 AS indicador_id,
        'Volumen de transporte' AS indicador_nombre,
@@ -188,10 +190,14 @@ FROM (SELECT anio, total, {two} AS pais
 }
 
 
-def mapping_sql(table: str, words: dict[str, str], names: dict[str, str]) -> str:
-    """The mapping of a table with the words of an engine and its table names."""
+def mapping_sql(table: str, words: dict[str, str], names: dict[str, str],
+                with_route: bool = True) -> str:
+    """The mapping of a table with the words of an engine and its table names.
+    Without routes the tickets need neither companies nor passengers."""
     return RAW_SQL[table].format(
         ticket_id=words["hash60"] % _TICKET_ID,
+        route=_ROUTE if with_route else "cast(NULL AS bigint)",
+        route_joins=_ROUTE_JOINS.format(**names) if with_route else "",
         all_nations=words["upto"] % f"(SELECT max(n_nationkey) FROM {names['nation']})",
         two=words["upto"] % "1", **names)
 
@@ -200,9 +206,10 @@ def driver_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(DRIVER_SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
-def raw_table(spark: SparkSession, folder: str, table: str) -> DataFrame:
+def raw_table(spark: SparkSession, folder: str, table: str,
+              with_route: bool = True) -> DataFrame:
     """An operational table in its raw state."""
-    text = mapping_sql(table, SPARK, {n: f"{{{n}}}" for n in DRIVER_TABLES})
+    text = mapping_sql(table, SPARK, {n: f"{{{n}}}" for n in DRIVER_TABLES}, with_route)
     used = {n: driver_table(spark, folder, n) for n in DRIVER_TABLES if f"{{{n}}}" in text}
     if "lineitem" in used:
         used["lineitem"] = spread(used["lineitem"], "l_orderkey", "l_partkey", "l_suppkey")
@@ -213,8 +220,9 @@ def raw_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     return {name: raw_table(spark, folder, name) for name in RAW_SQL}
 
 
-def clean_table(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    return cleaning.CLEANERS[table](raw_table(spark, folder, table))
+def clean_table(spark: SparkSession, folder: str, table: str,
+                with_route: bool = True) -> DataFrame:
+    return cleaning.CLEANERS[table](raw_table(spark, folder, table, with_route))
 
 
 def clean_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
@@ -250,8 +258,9 @@ def live_gold(spark: SparkSession, folder: str, dims: str = "",
     used = {f"dim_{d}": dimension(spark, folder, f"dim_{d}", number=sparse_numbers)
             for d in dims.split()}
     tickets = (integrated(spark, folder) if with_benchmark
-               else clean_table(spark, folder, "ventas_pasajes"))
-    return Gold(star.fact_rows(tickets, used), used.get("dim_ruta"), used.get("dim_empresa"))
+               else clean_table(spark, folder, "ventas_pasajes", "dim_ruta" in used))
+    return Gold(star.fact_rows(tickets, used, unique=True), used.get("dim_ruta"),
+                used.get("dim_empresa"))
 
 
 def gold_frames(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
@@ -259,7 +268,7 @@ def gold_frames(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     are written first, so the lookups know their sizes."""
     tiempo = written(star.dim_tiempo(clean_table(spark, folder, "ventas_pasajes")), "dim_tiempo")
     dims = {name: written(dimension(spark, folder, name), name) for name in LOOKED_UP}
-    fact = star.fact_ventas(integrated(spark, folder), tiempo, dims)
+    fact = star.fact_ventas(integrated(spark, folder), tiempo, dims, unique=True)
     return {"dim_tiempo": tiempo, **dims, "dim_canal": star.dim_canal(spark),
             "fact_ventas": fact}
 
