@@ -137,7 +137,8 @@ def seasonal_index(gold: Gold, by_month: bool = False) -> DataFrame:
     periods a year. ``by_month=True`` gives plain calendar months instead.
     """
     flags = [] if by_month else ["es_semana_santa", "es_feria_tarija", "es_fin_anio"]
-    periods = _cells(gold.timed("anio", "mes", *flags), ["anio", "mes", *flags], "n_sold n_lost paid")
+    keys = ["anio", "mes", *flags]
+    periods = _cells(gold.timed(*keys), keys, "n_sold n_lost paid")
     year = Window.partitionBy("anio")  # at most a few dozen rows a year
     tickets = F.col("n_sold")
     rated = periods.withColumns({

@@ -1,4 +1,5 @@
 import datetime as dt
+from decimal import Decimal
 
 import pytest
 from conftest import rows
@@ -98,8 +99,6 @@ def test_clean_empresas_imputes_exact_median(spark):
 
 
 def test_clean_rutas_drops_non_positive(spark):
-    good = {"distancia_km": 1, "duracion_horas": 1, "tarifa_base": 1}
-    from decimal import Decimal
     good = {"distancia_km": 1, "duracion_horas": Decimal(1), "tarifa_base": Decimal(1)}
     raw = frame(spark, "rutas", {"id_ruta": 1, **good}, {"id_ruta": 2, **good, "distancia_km": 0},
                 {"id_ruta": 3, **good, "duracion_horas": Decimal(-1)},
@@ -128,7 +127,6 @@ def test_clean_unidades_keeps_closed_year_range(spark):
 
 
 def ticket(i, **changes):
-    from decimal import Decimal
     base = {"id_venta": i, "id_ruta": 1, "id_empresa": 1, "id_pasajero": 1, "id_itinerario": 1,
             "fecha_venta": "2021-03-01", "fecha_viaje": "2021-03-05", "numero_asiento": 4,
             "monto_pagado": Decimal("50.0000"), "canal_venta": "Web", "estado_pasaje": "Viajado",
@@ -137,7 +135,6 @@ def ticket(i, **changes):
 
 
 def test_clean_ventas(spark):
-    from decimal import Decimal
     raw = frame(spark, "ventas_pasajes",
                 ticket(1, nombre_pasajero_registrado="  ana \t maría ", canal_venta=" WEB ",
                        monto_pagado=Decimal("10.0050")),
@@ -184,9 +181,7 @@ def test_integrate_and_match_rate(spark):
 
 # ---- quality -----------------------------------------------------------------
 
-def test_there_are_37_reference_checks():
-    from pyspark.sql import SparkSession
-    assert SparkSession.getActiveSession() is not None
+def test_there_are_37_reference_checks(spark):
     row_level = sum(len(r) for r in quality.row_rules().values())
     cardinality = 1  # tickets kept by the benchmark join
     assert row_level + len(quality.KEPT_SHARE) + cardinality == 37
@@ -272,7 +267,6 @@ def test_frequencies_keep_nulls_in_the_denominator(spark):
 
 @pytest.fixture()
 def small_star(spark):
-    from decimal import Decimal
     geo = cleaning.clean_geografia(frame(spark, "geografia", {"id_ciudad": 1, "ciudad": "tarija",
                                                               "departamento": "tarija"}))
     route = {"duracion_horas": Decimal(1), "tipo_corredor": "fronterizo", "activa": True}

@@ -83,7 +83,8 @@ def test_views_over_stored_gold(spark, layers):
     gold = pipeline.open_gold(spark, layers["gold"])
     kpis.register_views(gold)
     total = spark.sql("SELECT total_pasajes_vendidos FROM vw_resumen_ejecutivo").first()[0]
-    assert total == spark.sql("SELECT sum(total_pasajes) FROM vw_okr_crecimiento_ingresos").first()[0]
+    years = spark.sql("SELECT sum(total_pasajes) FROM vw_okr_crecimiento_ingresos").first()[0]
+    assert total == years
     top = spark.sql("SELECT * FROM vw_kpi1_tasa_ocupacion "
                     "WHERE anio = (SELECT max(anio) FROM vw_kpi1_tasa_ocupacion) "
                     "ORDER BY tasa_ocupacion_pct DESC LIMIT 15")
