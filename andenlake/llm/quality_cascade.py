@@ -110,14 +110,14 @@ RULES = [
 ]
 
 
-def order_rules(measures: DataFrame, rules: list[Rule],
+def order_rules(docs: DataFrame, rules: list[Rule],
                 sample_rows: int = SAMPLE_ROWS) -> list[tuple[Rule, float, float]]:
     """Rules by rejected share per second on a sample of about ``sample_rows`` rows, with
     the two figures. Ties keep the given order; an empty sample keeps it altogether."""
-    total = measures.count()
+    total = docs.count()
     if not total:
         return [(rule, 0.0, 0.0) for rule in rules]
-    sample = stored(measures.sample(min(1.0, sample_rows / total), seed=7), "sample")
+    sample = stored(measured(docs.sample(min(1.0, sample_rows / total), seed=7)), "sample")
     scored = []
     for rule in rules:
         start = time.perf_counter()
@@ -141,7 +141,7 @@ def judge(docs: DataFrame, rules: list[Rule] | None = None,
     Which of several failing rules is named depends on the fitted order; ``kept``
     does not."""
     measures = measured(docs)
-    ordered = order_rules(measured(docs.select("doc_id", "text")), rules or RULES, sample_rows)
+    ordered = order_rules(docs, rules or RULES, sample_rows)
     failed = F.when(F.col("base_failed"), F.lit("base")).otherwise(
         cascade(measures, [rule for rule, _, _ in ordered]))
     return (measures.withColumn("base_failed", base_failed())

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from andenlake.llm import simhash
+from andenlake.llm import packing, quality_cascade, secret_scan, simhash
 from andenlake.llm.shared import documents
 
 
@@ -12,5 +12,59 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
 
-QUERIES = {"op4_simhash": op4_simhash}
-SQL: dict[str, str] = {}
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.counted(secret_scan.scan(documents(spark, sf_dir)))
+
+
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_cascade.judge(documents(spark, sf_dir)).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept")
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir))
+
+
+QUERIES = {
+    "op4_simhash": op4_simhash,
+    "op5_secret_scan": op5_secret_scan,
+    "op9_quality_rules": op9_quality_rules,
+    "op10_packing": op10_packing,
+}
+SQL: dict[str, str] = {
+    "op9_quality_rules": r"""
+with d as (
+  select doc_id, coalesce(text, '') as text,
+         list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'),
+                     lambda x: x <> '') as words,
+         list_filter(string_split(coalesce(text, ''), chr(10)),
+                     lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as lines
+  from documents),
+windows as (
+  select doc_id, i, words[i] || chr(1) || words[i + 1] || chr(1) || words[i + 2] as tri
+  from (select doc_id, words, unnest(range(1, len(words) - 1)) as i from d)),
+again as (
+  select doc_id, i from windows
+  qualify count(*) over (partition by doc_id, tri) > 1),
+covered as (
+  select doc_id, count(distinct p) as n_repeat_words
+  from (select doc_id, unnest([i, i + 1, i + 2]) as p from again) group by doc_id),
+m as (
+  select d.doc_id, text, len(words)::bigint as n_words,
+         length(array_to_string(words, ''))::bigint as word_chars,
+         length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::bigint as n_symbols,
+         (len(lines) - len(list_distinct(lines)))::bigint as n_dup_lines,
+         coalesce(n_repeat_words, 0)::bigint as n_repeat_words,
+         len(lines) as n_lines,
+         length(regexp_replace(text, '[^!]', '', 'g')) as marks,
+         length(regexp_replace(text, '[^\p{Lu}]', '', 'g')) as capitals,
+         length(regexp_replace(text, '[^\p{L}]', '', 'g')) as letters
+  from d left join covered using (doc_id)),
+b as (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed from m)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       not (base_failed or 10 * n_symbols > n_words or 2 * n_dup_lines > n_lines
+            or word_chars < 2 * n_words or word_chars > 15 * n_words or 2 * marks > n_words
+            or 2 * capitals > letters or 2 * letters < word_chars) as kept
+from b""",
+}
