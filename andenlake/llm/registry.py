@@ -3,11 +3,22 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from andenlake.llm import packing, quality_cascade, secret_scan, simhash
+from andenlake.llm import (langid, multi_index, packing, quality_cascade, secret_scan,
+                           simhash)
 from andenlake.llm.shared import documents
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(documents(spark, sf_dir))
+
+
+def op3_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = documents(spark, sf_dir, "embeddings")
+    return multi_index.search(vectors, vectors.filter(F.col("vec_id") % 20 == 0))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
@@ -27,6 +38,8 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_language_id": op2_language_id,
+    "op3_multi_index": op3_multi_index,
     "op4_simhash": op4_simhash,
     "op5_secret_scan": op5_secret_scan,
     "op9_quality_rules": op9_quality_rules,
