@@ -53,11 +53,19 @@ def vocabulary(path: str | None = None) -> list[bytes]:
     out = []
     for piece in sorted(vocab, key=vocab.get):
         word = piece.removesuffix("</w>")
-        if word:
-            out.append(b"".join(back[c] for c in word) + END * (word != piece))
+        raw = b"".join(back[c] for c in word)
+        if raw and END not in raw:
+            out.append(raw + END * (word != piece))
     return list(dict.fromkeys(out))
 
 
+def lookup(pieces: list[bytes]) -> dict[bytes, int]:
+    """Number of each piece; what only begins a piece is -1, so a search can stop there."""
+    table = {p[:n]: -1 for p in pieces for n in range(1, len(p))}
+    table.update((p, i) for i, p in enumerate(pieces))
+    return table
+
+
 def words_of(text: str) -> list[str]:
     return WORDS.findall(text.lower())
 
@@ -65,7 +73,7 @@ def words_of(text: str) -> list[str]:
 class Lattice:
     """All segmentations of a batch of words, as edges between byte positions."""
 
-    def __init__(self, words: list[str], pieces: dict[bytes, int], longest: int):
+    def __init__(self, words: list[str], pieces: dict[bytes, int]):
         source, target, piece, level, begin, first = [], [], [], [], [], 0
         self.starts, self.ends, self.lengths = [], [], []
         get = pieces.get
@@ -73,9 +81,11 @@ class Lattice:
             raw = word.encode() + END
             n = len(raw)
             for i in range(n - 1):
-                for j in range(i + 1, min(n, i + longest) + 1):
+                for j in range(i + 1, n + 1):
                     k = get(raw[i:j])
-                    if k is not None:
+                    if k is None:
+                        break
+                    if k >= 0:
                         source.append(first + i)
                         target.append(first + j)
                         piece.append(k)
@@ -134,7 +144,6 @@ class Model:
 
     def __init__(self, languages: list[str], pieces: list[bytes], probability: np.ndarray):
         self.languages, self.pieces = languages, pieces
-        self.longest = max(map(len, pieces))
         self.bytes = np.array([len(p) for p in pieces])
         self.probability = probability
         self.scaled = probability * SCALE ** self.bytes[:, None]
@@ -165,8 +174,7 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE, rounds: int = ROUND
     Every round is one pass over the stored counts; what reaches the driver is one
     number for each piece and language."""
     pieces = vocabulary(path)
-    ids = {p: i for i, p in enumerate(pieces)}
-    longest = max(map(len, pieces))
+    ids = lookup(pieces)
 
     def split(rows):
         pairs = [(lang, w) for lang, t in zip(rows["lang"], rows["utf8"])
@@ -192,7 +200,7 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE, rounds: int = ROUND
                 weight = np.zeros((len(frame), len(column)))
                 weight[np.arange(len(frame)), frame["lang"].map(column)] = frame["n"]
                 for a in range(0, len(frame), 4000):
-                    part = Lattice(frame["word"].tolist()[a:a + 4000], ids, longest)
+                    part = Lattice(frame["word"].tolist()[a:a + 4000], ids)
                     total += part.expected(scaled, weight[a:a + 4000])
             piece, lang = np.nonzero(total)
             yield pd.DataFrame({"piece": piece, "lang": lang, "uses": total[piece, lang]})
@@ -210,7 +218,7 @@ class Scorer(dict):
 
     def __init__(self, model: Model, limit: int = CACHE):
         self.model, self.limit = model, limit
-        self.ids = {p: i for i, p in enumerate(model.pieces)}
+        self.ids = lookup(model.pieces)
 
     def posteriors(self, batch: list[list[str]]) -> np.ndarray:
         new = list({w for words in batch for w in words if w not in self})
@@ -219,7 +227,7 @@ class Scorer(dict):
             new = list({w for words in batch for w in words})
         for a in range(0, len(new), 4000):
             part = new[a:a + 4000]
-            self.update(zip(part, Lattice(part, self.ids, self.model.longest)
+            self.update(zip(part, Lattice(part, self.ids)
                             .log_likelihood(self.model.scaled)))
         total = np.stack([np.sum([self[w] for w in words], axis=0) for words in batch])
         share = np.exp(total - total.max(1, keepdims=True))

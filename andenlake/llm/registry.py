@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from andenlake.llm import (langid, multi_index, packing, quality_cascade, secret_scan,
+from andenlake.llm import (bpe, langid, multi_index, packing, quality_cascade, secret_scan,
                            simhash)
 from andenlake.llm.shared import documents
 
@@ -27,6 +27,10 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.counted(secret_scan.scan(documents(spark, sf_dir)))
 
 
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(documents(spark, sf_dir))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_cascade.judge(documents(spark, sf_dir)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -42,6 +46,7 @@ QUERIES = {
     "op3_multi_index": op3_multi_index,
     "op4_simhash": op4_simhash,
     "op5_secret_scan": op5_secret_scan,
+    "op8_bpe": op8_bpe,
     "op9_quality_rules": op9_quality_rules,
     "op10_packing": op10_packing,
 }
