@@ -43,8 +43,8 @@ def exchange(docs: DataFrame, keys: Callable[[pd.DataFrame, int], list[bytes]],
         return {**rows, "utf8": [pack(t) for t in rows["utf8"]]}
 
     extra = "".join(f", {c} {dict(docs.dtypes)[c]}" for c in more)
-    place = F.pmod(F.xxhash64("doc_id", F.crc32(F.coalesce(F.col("text").cast("binary"),
-                                                          F.lit(b"")))), F.lit(count))
+    place = F.pmod(F.xxhash64(F.coalesce("doc_id", F.crc32(F.col("text").cast("binary")))),
+                   F.lit(count))
     rows = map_batches(texts(docs, *more, place.cast("int").alias("block")), squeeze,
                        f"doc_id long, utf8 binary{extra}, block int")
     blocks = rows.groupBy("block")

@@ -5,11 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from andenlake.llm import (bpe, langid, multi_index, packing, quality_cascade, secret_scan,
-                           simhash)
+from andenlake.llm import (bpe, langid, lm_score, multi_index, packing, quality_cascade,
+                           secret_scan, simhash)
 from andenlake.llm.shared import documents
 
 
+def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target: the documents labelled as of good quality."""
+    labels = documents(spark, sf_dir, "labels")
+    return lm_score.score(documents(spark, sf_dir), labels.filter("quality = 1"))
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(documents(spark, sf_dir))
 
@@ -42,6 +48,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_lm_score": op1_lm_score,
     "op2_language_id": op2_language_id,
     "op3_multi_index": op3_multi_index,
     "op4_simhash": op4_simhash,
