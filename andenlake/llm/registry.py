@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from andenlake.llm import (bpe, langid, lm_score, multi_index, packing, quality_cascade,
-                           secret_scan, simhash)
+                           secret_scan, simhash, suffix_dedup)
 from andenlake.llm.shared import documents
 
 
@@ -33,6 +33,10 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.counted(secret_scan.scan(documents(spark, sf_dir)))
 
 
+def op7_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digests(suffix_dedup.remove(documents(spark, sf_dir)))
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(documents(spark, sf_dir))
 
@@ -53,6 +57,7 @@ QUERIES = {
     "op3_multi_index": op3_multi_index,
     "op4_simhash": op4_simhash,
     "op5_secret_scan": op5_secret_scan,
+    "op7_suffix_array": op7_suffix_array,
     "op8_bpe": op8_bpe,
     "op9_quality_rules": op9_quality_rules,
     "op10_packing": op10_packing,
