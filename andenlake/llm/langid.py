@@ -234,18 +234,24 @@ class Scorer(dict):
         return share / share.sum(1, keepdims=True)
 
 
+def judged(batch: list[str], scorer: Scorer) -> tuple[list[str], list[float]]:
+    """Language and posterior of every text."""
+    found = [words_of(t) for t in batch]
+    sure = [k for k, words in enumerate(found)
+            if scorer.model.languages and any(c.isalpha() for w in words for c in w)]
+    lang, score = [UNKNOWN] * len(found), [0.0] * len(found)
+    for a in range(0, len(sure), 500):
+        part = sure[a:a + 500]
+        share = scorer.posteriors([found[k] for k in part])
+        for k, best, row in zip(part, share.argmax(1), share):
+            lang[k], score[k] = scorer.model.languages[best], float(row[best])
+    return lang, score
+
+
 def predict(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, held_out, lang_pred, score: one row for each row of ``docs``."""
     def work(rows, scorer):
-        found = [words_of(t.decode()) for t in rows["utf8"]]
-        sure = [k for k, words in enumerate(found)
-                if model.languages and any(c.isalpha() for w in words for c in w)]
-        lang, score = [UNKNOWN] * len(found), [0.0] * len(found)
-        for a in range(0, len(sure), 500):
-            part = sure[a:a + 500]
-            share = scorer.posteriors([found[k] for k in part])
-            for k, best, row in zip(part, share.argmax(1), share):
-                lang[k], score[k] = model.languages[best], float(row[best])
+        lang, score = judged([t.decode() for t in rows["utf8"]], scorer)
         return {"doc_id": rows["doc_id"], "held_out": rows["held_out"], "lang_pred": lang,
                 "score": score}
 
@@ -256,3 +262,22 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 
 def identify(docs: DataFrame, **options) -> DataFrame:
     return predict(docs, train(docs, **options))
+
+
+def recognised(docs: DataFrame, model: Model, min_score: float = 0.0) -> DataFrame:
+    """The rows of ``docs`` that are in some language, with a null ``lang`` filled in.
+
+    Rejected are texts that are ``und`` or have a score below ``min_score``."""
+    def run(batches):
+        scorer = Scorer(model)
+        for batch in batches:
+            raw = batch.column("text").to_pylist()
+            lang, score = judged([(t or "") for t in raw], scorer)
+            fits = [x != UNKNOWN and s >= min_score for x, s in zip(lang, score)]
+            i = batch.schema.get_field_index("lang")
+            old = batch.column(i).to_pylist()
+            filled = pa.array([a if a is not None else b for a, b in zip(old, lang)],
+                              batch.schema.field(i).type)
+            yield batch.set_column(i, batch.schema.field(i), filled).filter(pa.array(fits))
+
+    return docs.mapInArrow(run, docs.schema)

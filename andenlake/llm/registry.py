@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from andenlake.llm import (bpe, langid, lm_score, multi_index, packing, quality_cascade,
-                           secret_scan, simhash, suffix_dedup)
+from andenlake.llm import (bpe, langid, line_dedup, lm_score, multi_index,
+                           packing, quality_cascade, secret_scan, simhash,
+                           suffix_dedup)
 from andenlake.llm.shared import documents
 
 
@@ -33,6 +34,10 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.counted(secret_scan.scan(documents(spark, sf_dir)))
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.removed_lines(documents(spark, sf_dir))
+
+
 def op7_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digests(suffix_dedup.remove(documents(spark, sf_dir)))
 
@@ -57,6 +62,7 @@ QUERIES = {
     "op3_multi_index": op3_multi_index,
     "op4_simhash": op4_simhash,
     "op5_secret_scan": op5_secret_scan,
+    "op6_line_dedup": op6_line_dedup,
     "op7_suffix_array": op7_suffix_array,
     "op8_bpe": op8_bpe,
     "op9_quality_rules": op9_quality_rules,
@@ -97,4 +103,41 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
             or word_chars < 2 * n_words or word_chars > 15 * n_words or 2 * marks > n_words
             or 2 * capitals > letters or 2 * letters < word_chars) as kept
 from b""",
+    "op6_line_dedup": r"""
+with l as (
+  select doc_id, i - 1 as line, list_sort(list_distinct(string_split_regex(
+           trim(body, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+           '[\x20\x09-\x0D]+'))) as words
+  from (select doc_id, unnest(string_split(text, chr(10))) as body,
+               generate_subscripts(string_split(text, chr(10)), 1) as i from documents)
+  where regexp_matches(body, '[^\x20\x09-\x0D]')),
+s as (
+  select words, min(struct_pack(doc_id := doc_id, line := line)) as first, len(words) as n,
+         row_number() over () as id
+  from l group by words),
+t as (select id, n, unnest(words) as w from s),
+rare as (select w from t group by w having count(*) > 1),
+tt as (select * from t semi join rare using (w)),
+pairs as (
+  select x.id as a, y.id as b from tt x join tt y using (w)
+  where x.id <> y.id and 100 * x.n >= 80 * y.n and 100 * y.n >= 80 * x.n
+  group by x.id, y.id, x.n, y.n
+  having 100 * count(*) >= 80 * (x.n + y.n - count(*))),
+low as (
+  select a as id, count(*) as links, min(s.first) as low
+  from pairs join s on s.id = pairs.b group by a),
+k as (
+  select first.doc_id as doc_id, first.line as line, coalesce(links, 0) as links,
+         low is null or first < low as kept
+  from s left join low using (id)),
+d as (
+  select l.doc_id, count(*) as n_lines,
+         count(*) filter (where not coalesce(k.kept, false)) as n_removed,
+         string_agg(l.line::varchar, ',' order by l.line)
+           filter (where not coalesce(k.kept, false)) as removed,
+         coalesce(sum(links), 0)::bigint as n_links
+  from l left join k on l.doc_id = k.doc_id and l.line = k.line group by l.doc_id)
+select doc_id, coalesce(n_lines, 0) as n_lines, coalesce(n_removed, 0) as n_removed,
+       coalesce(removed, '') as removed, coalesce(n_links, 0) as n_links
+from documents left join d using (doc_id)""",
 }
