@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from andenlake.operators.joins import broadcast_if_small
-
 HOME_COUNTRY = "BOL"
 
 
@@ -21,11 +19,13 @@ def country_series(benchmark: DataFrame, iso3: str = HOME_COUNTRY) -> DataFrame:
 def join_benchmark(ventas: DataFrame, benchmark: DataFrame, iso3: str = HOME_COUNTRY) -> DataFrame:
     """Left join on the year of sale; unmatched columns stay null.
 
-    A year holds a large share of all tickets, so the series must not be
-    shuffled against them: it is broadcast once its size has been checked.
+    The series of a country has one row per year; that is its contract, which the
+    quality rule on row counts watches. So it is a few dozen rows whatever the
+    number of tickets, and is broadcast for that reason: a year holds a large
+    share of all tickets, which must not be shuffled on it.
     """
-    series = broadcast_if_small(country_series(benchmark, iso3))
-    return ventas.join(series, F.col("anio_venta") == F.col("anio"), "left").drop("anio")
+    series = country_series(benchmark, iso3)
+    return ventas.join(F.broadcast(series), F.col("anio_venta") == F.col("anio"), "left").drop("anio")
 
 
 def integrate(ventas: DataFrame, benchmark: DataFrame, iso3: str = HOME_COUNTRY) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Join helpers: broadcast only behind a size check, lookups with a default."""
+"""Join helpers: lookups with a default."""
 
 from __future__ import annotations
 
@@ -7,19 +7,6 @@ from pyspark.sql import functions as F
 
 from andenlake.session import written
 
-BROADCAST_MAX_ROWS = 100_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Hint a broadcast once a bounded count has shown ``df`` to be small.
-
-    The count stops at ``max_rows + 1`` rows. A larger side is returned as it
-    is: Spark then shuffles both sides and AQE splits skewed partitions.
-    Meant for narrow lookup rows; sides read straight from small files need no
-    hint, Spark broadcasts those from their file sizes.
-    """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
 
 def lookup(facts: DataFrame, dim: DataFrame, fact_key: str, natural_key: str,
            surrogate_key: str, carry: dict[str, str] | None = None,

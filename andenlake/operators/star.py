@@ -13,6 +13,11 @@ from andenlake.operators.joins import lookup, scalar
 from andenlake.operators.numbering import dense_numbers
 from andenlake.schemas import GOLD, conform
 
+# What the fact takes from a ticket, its id first.
+TICKET_COLUMNS = ["id_venta", "id_ruta", "id_empresa", "id_pasajero", "id_unidad", "fecha_viaje",
+                  "canal_venta", "estado_pasaje", "monto_pagado", "descuento_aplicado",
+                  "numero_asiento", "cepal_volumen_pasajeros_km", "cepal_modo_transporte"]
+
 Numbering = Callable[[DataFrame, str, list[str]], DataFrame]
 
 # What a fact row gets where a lookup finds nothing.
@@ -153,6 +158,9 @@ def _bus(tickets: DataFrame, unidad: DataFrame, unique: bool) -> tuple[DataFrame
 def fact_ventas(tickets: DataFrame, tiempo: DataFrame | None, dims: dict[str, DataFrame],
                 number: Numbering = dense_numbers, unique: bool = False) -> DataFrame:
     """The complete fact. Tickets are numbered before the lookups, so that the
-    sampling pass of the range partitioning repeats a scan and not the joins."""
-    numbered = number(tickets, "sk_venta", ["id_venta"])
+    sampling pass of the range partitioning repeats a scan and not the joins, and
+    with the columns of the fact alone, as the numbered rows are written. Ties of
+    the id are broken by those columns."""
+    lean = tickets.select(*[c for c in TICKET_COLUMNS if c in tickets.columns])
+    numbered = number(lean, "sk_venta", lean.columns)
     return conform(fact_rows(numbered, dims, tiempo, unique), GOLD["fact_ventas"])

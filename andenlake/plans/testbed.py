@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from andenlake.operators import cleaning, star
 from andenlake.operators.enrich import integrate
 from andenlake.operators.numbering import sparse_numbers
-from andenlake.operators.scans import spread
 from andenlake.plans.kpis import Gold
 from andenlake.session import written
 
@@ -36,8 +35,13 @@ DRIVER_SCHEMAS = {
     "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
               "value double, props string",
     "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+    "pages": "page_id bigint, url string, html string",
+    "benchmark": "item_id bigint, text string",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
 }
-DRIVER_TABLES = [name for name in DRIVER_SCHEMAS if name != "documents"]
+DRIVER_TABLES = list(DRIVER_SCHEMAS)
 RUN_DATE = dt.date(2026, 4, 7)
 
 SPARK = {
@@ -211,8 +215,6 @@ def raw_table(spark: SparkSession, folder: str, table: str,
     """An operational table in its raw state."""
     text = mapping_sql(table, SPARK, {n: f"{{{n}}}" for n in DRIVER_TABLES}, with_route)
     used = {n: driver_table(spark, folder, n) for n in DRIVER_TABLES if f"{{{n}}}" in text}
-    if "lineitem" in used:
-        used["lineitem"] = spread(used["lineitem"], "l_orderkey", "l_partkey", "l_suppkey")
     return spark.sql(text, **used)
 
 

@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_WRITTEN: list[str] = []
+
 # Settings the plans are written for. Nothing here depends on the data size:
 # AQE picks partition counts, joins and skew splits from what it measures.
 RECOMMENDED = {
@@ -28,15 +30,22 @@ def build_session(app: str = "andenlake", master: str | None = None, **conf) ->
     return builder.getOrCreate()
 
 
+def is_local(master: str) -> bool:
+    return master == "local" or master.startswith("local[")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder for intermediate tables: ``spark.checkpoint.dir`` of the session.
 
-    Only where the session names none (tests, a laptop) a temporary folder is
-    chosen; it is set on the context so that later calls agree on it.
+    Only a local session that names none (tests, a laptop) gets a temporary folder;
+    it is set on the context so that later calls agree on it. On a cluster such a
+    folder would be on one machine, so naming none is an error there.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
+        if not is_local(context.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="andenlake-"))
         folder = context.getCheckpointDir()
     return folder.rstrip("/")
@@ -50,5 +59,18 @@ def written(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/andenlake/{label}-{uuid.uuid4().hex}"
+    _WRITTEN.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete the tables that ``written`` made in this process; to be called once the
+    frames that read them are no longer needed. Returns how many there were."""
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in _WRITTEN:
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(hadoop).delete(folder, True)
+    removed = len(_WRITTEN)
+    _WRITTEN.clear()
+    return removed

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from andenlake.operators.quality import QualityError
 from andenlake.schemas import BRONZE, PAYLOAD, conform
+from andenlake.sources import snapshots
 
 # Dimension members requested from the indicator service.
 COUNTRIES = {221: "Bolivia (Estado Plurinacional de)", 216: "Argentina", 244: "Peru",
@@ -28,11 +29,7 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
 
 
 def land_documents(documents: DataFrame, root: str, name: str, ingest_date: dt.date) -> str:
-    path = f"{root}/{name}"
-    (documents.withColumn("ingest_date", F.lit(ingest_date))
-     .write.option("partitionOverwriteMode", "dynamic")
-     .partitionBy("ingest_date").mode("overwrite").parquet(path))
-    return path
+    return snapshots.land(documents, root, name, ingest_date)
 
 
 def parse(documents: DataFrame, text: str = "documento") -> DataFrame:

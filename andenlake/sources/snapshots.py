@@ -32,18 +32,18 @@ def _matches(spark: SparkSession, pattern: str) -> list[str]:
 
 def land(df: DataFrame, root: str, table: str, ingest_date: dt.date) -> str:
     """Write the unmodified rows as the snapshot of a date. Landing a date again
-    replaces that date only."""
-    path = f"{root}/{table}"
-    (df.withColumn(DATE_COLUMN, F.lit(ingest_date))
-     .write.option("partitionOverwriteMode", "dynamic")
-     .partitionBy(DATE_COLUMN).mode("overwrite").parquet(path))
-    return path
+    replaces that date only. An empty table is a snapshot too: its folder holds
+    a file with the schema, and it is the newest one until the next."""
+    df.write.mode("overwrite").parquet(f"{root}/{table}/{DATE_COLUMN}={ingest_date:%Y-%m-%d}")
+    return f"{root}/{table}"
 
 
 def snapshot_dates(spark: SparkSession, root: str, table: str) -> list[str]:
-    """Landed dates from the partition folders, oldest first."""
-    found = _matches(spark, f"{root}/{table}/{DATE_COLUMN}=*")
-    return [p.rsplit("=", 1)[1] for p in found]
+    """Landed dates from the folders of finished writes, oldest first; folders
+    without a date in their name are no snapshots."""
+    found = _matches(spark, f"{root}/{table}/{DATE_COLUMN}=*/_SUCCESS")
+    dates = [p.split("/")[-2].partition("=")[2] for p in found]
+    return [d for d in dates if re.fullmatch(r"\d{4}-\d{2}-\d{2}", d)]
 
 
 def latest(spark: SparkSession, root: str, table: str,
@@ -62,10 +62,42 @@ def newest_rows(df: DataFrame, date_column: str = DATE_COLUMN) -> DataFrame:
     return df.filter(F.col(date_column) == df.agg(F.max(date_column)).scalar())
 
 
+BAD_ROW = "_fila_mala"
+
+
+def _csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Declared columns, found by their names in the header, and the raw text of
+    rows that do not fit. Quotes are doubled inside quotes; a quoted value may
+    hold line breaks; a byte-order mark is accepted."""
+    reader = (spark.read.option("header", True).option("encoding", "UTF-8")
+              .option("quote", '"').option("escape", '"').option("multiLine", True))
+    header = reader.csv(path).columns
+    declared = {f.name: f for f in schema.fields}
+    if missing := [name for name in declared if name not in header]:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+    given = T.StructType([declared.get(name, T.StructField(name, T.StringType()))
+                          for name in header]).add(BAD_ROW, T.StringType())
+    return (reader.schema(given).option("mode", "PERMISSIVE")
+            .option("columnPruning", False)  # else a bad value is not seen unless selected
+            .option("columnNameOfCorruptRecord", BAD_ROW).csv(path)
+            .select(*declared, BAD_ROW))
+
+
+def bad_csv_rows(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Rows with too many or too few values, or values not of the declared type: what could
+    be read of them, and their text."""
+    return _csv(spark, path, schema).filter(F.col(BAD_ROW).isNotNull())
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV with a header and declared types; a byte-order mark is accepted."""
-    return (spark.read.schema(schema).option("header", True).option("encoding", "UTF-8")
-            .option("enforceSchema", True).csv(path))
+    """CSV with a header and declared types. A row that does not fit fails the read;
+    ``bad_csv_rows`` shows which."""
+    rows = _csv(spark, path, schema)
+    broken = F.raise_error(F.concat(F.lit("bad row in a CSV file: "), BAD_ROW))
+    first = schema.fields[0]
+    checked = F.when(F.col(BAD_ROW).isNotNull(), broken.cast(first.dataType)).otherwise(
+        F.col(first.name))
+    return rows.withColumn(first.name, checked).drop(BAD_ROW)
 
 
 def latest_csv(spark: SparkSession, folder: str, table: str, schema: T.StructType) -> DataFrame:

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from andenlake import schemas
 from andenlake.operators import cleaning, enrich, joins, profiling, quality, star
 from andenlake.operators.numbering import dense_numbers, sparse_numbers
-from andenlake.operators.scans import spread
 
 
 def frame(spark, table, *records):
@@ -54,24 +53,18 @@ def test_lookup_takes_last_duplicate_and_never_multiplies(spark):
     assert rows(got) == [(1, 11, "b"), (1, 11, "b"), (2, None, None), (None, None, None)]
 
 
-def test_broadcast_only_below_the_bound(spark):
-    def plan(df):
-        return df._jdf.queryExecution().optimizedPlan().toString()
-    facts = spark.range(10).toDF("k")
-    dim = spark.range(100).toDF("d")
-    small = joins.broadcast_if_small(dim, 100)
-    large = joins.broadcast_if_small(dim, 99)
-    assert "broadcast" in plan(facts.join(small, F.col("k") == F.col("d")))
-    assert "broadcast" not in plan(facts.join(large, F.col("k") == F.col("d")))
-    assert facts.join(large, F.col("k") == F.col("d")).count() == 10
-
-
-def test_spread_keeps_rows_and_leaves_wide_scans_alone(spark):
-    narrow = spark.range(0, 100, 1, 1)
-    assert spread(narrow, "id").rdd.getNumPartitions() == 8
-    assert spread(narrow, "id").count() == 100
-    wide = spark.range(0, 100, 1, 6)
-    assert spread(wide, "id") is wide
+def test_no_job_runs_while_the_benchmark_join_is_planned(spark):
+    def jobs():
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup())
+    ventas = spark.createDataFrame([(1, 2020), (2, 2021)], "id_venta long, anio_venta int")
+    series = spark.createDataFrame([("BOL", 2020, "aereo", 7.0, "km"), ("ARG", 2020, "x", 1.0, "km")],
+                                   "iso3 string, anio int, modo_transporte string, valor double,"
+                                   " unidad string")
+    before = jobs()
+    joined = enrich.join_benchmark(ventas, series)
+    assert jobs() == before
+    assert {(r.id_venta, r.cepal_volumen_pasajeros_km) for r in joined.collect()} == {
+        (1, 7.0), (2, None)}
 
 
 # ---- cleaning ----------------------------------------------------------------

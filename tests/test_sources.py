@@ -4,6 +4,7 @@ import os
 
 import pytest
 from conftest import rows
+from pyspark.sql import types as T
 
 from andenlake import schemas
 from andenlake.operators.quality import QualityError
@@ -40,11 +41,11 @@ def test_csv_keeps_phone_numbers_and_clock_times(spark, tmp_path):
     head = ",".join(f.name for f in schemas.BRONZE["empresas"].fields)
     write(tmp_path / "empresas_20260101.csv", f"{head}\n9,Vieja,1,1,Activa,Flota,1,1,2010-01-01\n")
     write(tmp_path / "empresas_20260407.csv",
-          f"{head}\n1,\"Uno, S.A.\",10,046643210,Activa,Flota,1,180,2010-03-15\n")
+          f"{head}\n1,\"Uno, S.A.\",10,045551234,Activa,Flota,1,77,2014-09-02\n")
     write(tmp_path / "empresas_extra_20270101.csv", "otra\n1\n")
     got = snapshots.latest_csv(spark, str(tmp_path), "empresas", schemas.BRONZE["empresas"])
     row = got.first()
-    assert (row.id_empresa, row.nombre_empresa, row.telefono) == (1, "Uno, S.A.", "046643210")
+    assert (row.id_empresa, row.nombre_empresa, row.telefono) == (1, "Uno, S.A.", "045551234")
     head = ",".join(f.name for f in schemas.BRONZE["itinerarios"].fields)
     write(tmp_path / "itinerarios_20260407.csv",
           f"{head}\n1,1,1,1,08:00:00,\"Lunes,Viernes\",Diario,True\n")
@@ -53,6 +54,47 @@ def test_csv_keeps_phone_numbers_and_clock_times(spark, tmp_path):
     assert (row.hora_salida, row.dias_operacion, row.activo) == ("08:00:00", "Lunes,Viernes", True)
 
 
+@pytest.mark.parametrize("days", [(DAY1, DAY2), (DAY2, DAY2)])
+def test_an_empty_snapshot_is_the_newest(spark, tmp_path, days):
+    for day, n in zip(days, (3, 0)):
+        snapshots.land(spark.range(n), str(tmp_path), "t", day)
+    newest = snapshots.latest(spark, str(tmp_path), "t")
+    assert newest.columns == ["id"] and newest.count() == 0
+
+
+def test_unfinished_and_odd_folders_are_no_snapshots(spark, tmp_path):
+    snapshots.land(spark.range(2), str(tmp_path), "t", DAY1)
+    for name in ("2027-01-01", "__HIVE_DEFAULT_PARTITION__"):
+        (tmp_path / "t" / f"ingest_date={name}").mkdir()
+    (tmp_path / "t" / "ingest_date=__HIVE_DEFAULT_PARTITION__" / "_SUCCESS").touch()
+    assert snapshots.snapshot_dates(spark, str(tmp_path), "t") == [str(DAY1)]
+
+
+CITIES = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("de", T.StringType()),
+                       T.StructField("a", T.StringType())])
+
+
+def test_csv_quotes_line_breaks_and_columns_by_name(spark, tmp_path):
+    write(tmp_path / "t.csv", 'a,id,de,x\n"dijo ""hola"", y salio",1,Sur,9\n"dos\nlineas",2,Este,9\n')
+    got = snapshots.read_csv(spark, str(tmp_path / "t.csv"), CITIES)
+    assert got.columns == ["id", "de", "a"]
+    assert rows(got) == [(1, "Sur", 'dijo "hola", y salio'), (2, "Este", "dos\nlineas")]
+    with pytest.raises(ValueError):
+        snapshots.read_csv(spark, str(tmp_path / "t.csv"), schemas.BRONZE["rutas"])
+
+
+def test_bad_csv_rows_are_reported_and_fail_the_read(spark, tmp_path):
+    write(tmp_path / "t.csv", "id,de,a\n1,x,y\nuno,x,y\n3,x,y,z\n")
+    path = str(tmp_path / "t.csv")
+    bad = snapshots.bad_csv_rows(spark, path, CITIES).collect()
+    assert {r[snapshots.BAD_ROW] for r in bad} == {"3,x,y,z", "uno,x,y"}
+    with pytest.raises(Exception, match="bad row in a CSV file"):
+        snapshots.read_csv(spark, path, CITIES).collect()
+    write(tmp_path / "good.csv", "id,de,a\n1,x,y\n,,\n")
+    good = snapshots.read_csv(spark, str(tmp_path / "good.csv"), CITIES)
+    assert rows(good) == [(1, "x", "y"), (None, None, None)]
+
+
 def test_manifest_totals(spark):
     frames = {"a": spark.range(3), "b": spark.range(5), "c": spark.range(0)}
     assert rows(snapshots.manifest(frames)) == [
@@ -74,8 +116,8 @@ def test_jdbc_options():
 
 def payload(success=True, code=200, records=2, message="", data=None, **body):
     points = data if data is not None else [
-        {"value": "34866104129", "source_id": 3760, "notes_ids": "", "iso3": "CHL",
-         "dim_74754": 74755, "dim_208": 224, "dim_29117": 29187, "dim_74389": 74391},
+        {"value": "12345678", "source_id": 3760, "notes_ids": "", "iso3": "PER",
+         "dim_74754": 74755, "dim_208": 244, "dim_29117": 29188, "dim_74389": 74391},
         {"value": "n/d", "source_id": 3760, "iso3": "XXX", "dim_74754": 1, "dim_208": 2,
          "dim_29117": 3, "dim_74389": 74391}]
     return {"header": {"success": success, "code": code, "message": message},
@@ -107,10 +149,10 @@ def test_envelope_routing(spark, tmp_path):
 def test_flatten(spark, tmp_path):
     docs = indicator.read_documents(spark, land(tmp_path, a=payload()))
     got = {r.iso3: r for r in indicator.flatten_series(indicator.parse(docs), DAY2).collect()}
-    row = got["CHL"]
-    assert (row.pais_nombre, row.anio, row.modo_transporte) == ("Chile", "2017", "Transporte aereo")
+    row = got["PER"]
+    assert (row.pais_nombre, row.anio, row.modo_transporte) == ("Peru", "2018", "Transporte aereo")
     assert (row.valor, row.unidad, row.fuente_id, row.fecha_extraccion) == (
-        34866104129.0, "km", 3760, DAY2)
+        12345678.0, "km", 3760, DAY2)
     odd = got["XXX"]
     assert (odd.pais_nombre, odd.anio, odd.modo_transporte, odd.valor) == (
         "Desconocido", "Desconocido", "Desconocido", None)
