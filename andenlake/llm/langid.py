@@ -35,13 +35,15 @@ from andenlake.llm.shared import map_batches, stored, texts, tokenizer_path
 UNKNOWN = "und"
 #: The bound of the training sample, in documents of a language.
 PER_LANGUAGE = 400
+#: The most frequent labels that are learned; bounds the model.
+LANGUAGES = 1000
 ROUNDS = 3
 LONGEST = 32
 #: Added to every expected count.
 SMOOTHING = 0.02
 #: Probabilities are scaled by this per byte, which keeps long words in range.
 SCALE = 50.0
-CACHE = 300_000
+CACHE = 200_000
 WORDS = re.compile(rf"[^\W\d_]{{1,{LONGEST}}}")
 END = b"\xff"  # closes a word; never occurs in UTF-8
 
@@ -60,9 +62,10 @@ def vocabulary(path: str | None = None) -> list[bytes]:
 
 
 def lookup(pieces: list[bytes]) -> dict[bytes, int]:
-    """Number of each piece; what only begins a piece is -1, so a search can stop there."""
+    """Length and number of each piece, as ``length << 20 | number``; what only begins a piece
+    is -1, so a search goes on there and stops elsewhere."""
     table = {p[:n]: -1 for p in pieces for n in range(1, len(p))}
-    table.update((p, i) for i, p in enumerate(pieces))
+    table.update((p, len(p) << 20 | i) for i, p in enumerate(pieces))
     return table
 
 
@@ -74,33 +77,35 @@ class Lattice:
     """All segmentations of a batch of words, as edges between byte positions."""
 
     def __init__(self, words: list[str], pieces: dict[bytes, int]):
-        source, target, piece, level, begin, first = [], [], [], [], [], 0
-        self.starts, self.ends, self.lengths = [], [], []
-        get = pieces.get
+        edges, first = [], 0
+        starts, lengths = [], []
+        get, add = pieces.get, edges.append
         for word in words:
             raw = word.encode() + END
             n = len(raw)
             for i in range(n - 1):
+                place = first + i << 40
                 for j in range(i + 1, n + 1):
                     k = get(raw[i:j])
                     if k is None:
                         break
                     if k >= 0:
-                        source.append(first + i)
-                        target.append(first + j)
-                        piece.append(k)
-                        level.append(j)
-                        begin.append(i)
-            self.starts.append(first)
-            self.ends.append(first + n)
-            self.lengths.append(n)
+                        add(place + k)
+            starts.append(first)
+            lengths.append(n)
             first += n + 1
+        packed = np.array(edges, "i8")
+        source, self.size = packed >> 40, first
+        target = source + (packed >> 20 & 0xFFFFF)
+        self.starts, self.lengths = np.array(starts, "i8"), np.array(lengths, "i8")
+        self.ends = self.starts + self.lengths
+        own = self.starts[np.searchsorted(self.starts, source, "right") - 1]
+        level, begin = target - own, own - source
         order = np.lexsort((target, level))
-        self.source, self.target, self.piece = (np.array(x, "i8")[order]
-                                                for x in (source, target, piece))
-        level, self.size = np.array(level, "i8")[order], first
-        self.bounds = np.flatnonzero(np.diff(level, prepend=-1, append=-1))
-        begin = -np.array(begin, "i8")[order]  # backwards: edges by the place they leave
+        self.source, self.target = source[order], target[order]
+        self.piece = packed[order] & 0xFFFFF
+        self.bounds = np.flatnonzero(np.diff(level[order], prepend=-1, append=-1))
+        begin = begin[order]  # backwards: edges by the place they leave, last first
         self.back = np.lexsort((self.source, begin))
         self.back_bounds = np.flatnonzero(np.diff(begin[self.back], prepend=1, append=1))
 
@@ -127,12 +132,12 @@ class Lattice:
 
     def log_likelihood(self, prob: np.ndarray) -> np.ndarray:
         total = self.forward(prob)[self.ends]
-        return np.log(np.maximum(total, 1e-300)) - np.log(SCALE) * np.array(self.lengths)[:, None]
+        return np.log(np.maximum(total, 1e-300)) - np.log(SCALE) * self.lengths[:, None]
 
     def expected(self, prob: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """Expected uses of each piece, the words weighted by ``counts`` (words x languages)."""
         alpha, beta = self.forward(prob), self.backward(prob)
-        word = np.repeat(np.arange(len(self.ends)), np.array(self.lengths) + 1)
+        word = np.repeat(np.arange(len(self.ends)), self.lengths + 1)
         share = counts / np.maximum(alpha[self.ends], 1e-300)
         uses = (alpha[self.source] * prob[self.piece] * beta[self.target]
                 * share[word[self.source]])
@@ -162,9 +167,10 @@ def training_rows(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFram
     mine = docs.select("doc_id", "text", "lang").filter(
         F.col("text").isNotNull() & F.col("lang").isNotNull()
         & (F.crc32(F.col("doc_id").cast("string")) % 5 != 0))
-    rates = mine.groupBy("lang").agg((F.lit(per_language) / F.count("*")).alias("rate"))
+    rates = (mine.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang")
+             .limit(LANGUAGES).select("lang", (F.lit(per_language) / F.col("n")).alias("rate")))
     at = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) / 1_000_003
-    return mine.join(rates, "lang").filter(at < F.col("rate")).select("doc_id", "text", "lang")
+    return mine.join(F.broadcast(rates), "lang").filter(at < F.col("rate")).select("doc_id", "text", "lang")
 
 
 def train(docs: DataFrame, per_language: int = PER_LANGUAGE, rounds: int = ROUNDS,
@@ -214,36 +220,42 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE, rounds: int = ROUND
 
 
 class Scorer(dict):
-    """word -> log likelihood by language, computed for many new words at once."""
+    """word -> row of its log likelihoods by language, computed for many new words at once."""
 
     def __init__(self, model: Model, limit: int = CACHE):
         self.model, self.limit = model, limit
         self.ids = lookup(model.pieces)
+        self.rows = np.empty((0, len(model.languages)))
 
-    def posteriors(self, batch: list[list[str]]) -> np.ndarray:
+    def learn(self, batch: list[list[str]]) -> None:
         new = list({w for words in batch for w in words if w not in self})
         if len(self) + len(new) > self.limit:
             self.clear()
+            self.rows = self.rows[:0]
             new = list({w for words in batch for w in words})
+        parts = [self.rows]
         for a in range(0, len(new), 4000):
-            part = new[a:a + 4000]
-            self.update(zip(part, Lattice(part, self.ids)
-                            .log_likelihood(self.model.scaled)))
-        total = np.stack([np.sum([self[w] for w in words], axis=0) for words in batch])
+            parts.append(Lattice(new[a:a + 4000], self.ids).log_likelihood(self.model.scaled))
+        self.update(zip(new, range(len(self.rows), len(self.rows) + len(new))))
+        self.rows = np.concatenate(parts)
+
+    def posteriors(self, batch: list[list[str]]) -> np.ndarray:
+        self.learn(batch)
+        total = np.stack([self.rows[[self[w] for w in words]].sum(0) for words in batch])
         share = np.exp(total - total.max(1, keepdims=True))
         return share / share.sum(1, keepdims=True)
 
 
 def judged(batch: list[str], scorer: Scorer) -> tuple[list[str], list[float]]:
-    """Language and posterior of every text."""
-    found = [words_of(t) for t in batch]
-    sure = [k for k, words in enumerate(found)
-            if scorer.model.languages and any(c.isalpha() for w in words for c in w)]
-    lang, score = [UNKNOWN] * len(found), [0.0] * len(found)
-    for a in range(0, len(sure), 500):
-        part = sure[a:a + 500]
-        share = scorer.posteriors([found[k] for k in part])
-        for k, best, row in zip(part, share.argmax(1), share):
+    """Language and posterior of every text. Words are made for a few texts at a time."""
+    lang, score = [UNKNOWN] * len(batch), [0.0] * len(batch)
+    for a in range(0, len(batch) if scorer.model.languages else 0, 250):
+        found = {k: words_of(batch[k]) for k in range(a, min(a + 250, len(batch)))}
+        sure = [k for k, words in found.items() if any(c.isalpha() for w in words for c in w)]
+        if not sure:
+            continue
+        share = scorer.posteriors([found[k] for k in sure])
+        for k, best, row in zip(sure, share.argmax(1), share):
             lang[k], score[k] = scorer.model.languages[best], float(row[best])
     return lang, score
 
