@@ -180,13 +180,3 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS,
     member = stored(placed.join(smallest, "root").select("fp", "component_id"), "members")
     return marked.join(member, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
-
-
-def first_of_groups(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """One row of ``docs`` for each group of near-duplicates, the one with the smallest id;
-    rows without id stay."""
-    groups = near_duplicates(docs, radius).filter("doc_id = component_id").select(
-        "doc_id").distinct()
-    known = docs.filter(F.col("doc_id").isNotNull())
-    return known.join(stored(groups, "groups"), "doc_id", "left_semi").dropDuplicates(
-        ["doc_id"]).unionByName(docs.filter(F.col("doc_id").isNull()))
