@@ -3,8 +3,9 @@
 A vector's two halves are quantised separately, so ``K`` centroids each make
 ``K * K`` cells. For a query, pairs of centroids are visited in the order of
 their summed inner product with the two halves, by a heap over the two sorted
-lists, until the visited cells hold ``share`` of all distinct vectors; their
-entries are then scored exactly. Vectors without structure need a large share
+lists, until the visited cells hold ``share`` of all distinct vectors, and one
+more than a query can return (all, if there are fewer); their entries are then
+scored exactly. Vectors without structure need a large share
 (README), so work grows with queries times vectors; blocks keep it out of memory.
 
 Equal vectors are one entry that carries its smallest ids: never more than a
@@ -138,11 +139,13 @@ def search(vectors: DataFrame, queries: DataFrame, nearest: int = NEAREST,
                    .groupBy("vec_id", "v").agg(F.lit(1).alias("n")).drop("n"), "queries")
     blocks = max(1, -(-asked.count() // QUERIES))
 
+    enough = max(share * total, nearest + 1)  # the walk ends at the last cell in any case
+
     def route(frames):
         for frame in frames:
             m = np.stack(frame["v"].to_numpy())
             near = zip(m[:, :half] @ one.T, m[:, half:] @ two.T)
-            yield frame.assign(visited=[np.packbits(visit(x, y, held, share * total)).tobytes()
+            yield frame.assign(visited=[np.packbits(visit(x, y, held, enough)).tobytes()
                                         for x, y in near])
 
     block = F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks)).cast("int").alias("block")

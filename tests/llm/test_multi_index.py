@@ -77,3 +77,14 @@ def test_few_or_no_vectors(spark):
     two = spark.createDataFrame([(0, [1.0, 0.0]), (7, [0.5, 1.0])], schema)
     assert [tuple(r) for r in multi_index.search(two, two).orderBy("query_id").collect()] == [
         (0, 1, 7, 0.5), (7, 1, 0, 0.5)]
+
+
+def test_small_tables_give_all_that_there_is(spark):
+    rng = np.random.default_rng(9)
+    for n in (10, 21, 30, 40):
+        rows = [(i, rng.normal(size=6).tolist()) for i in range(n)]
+        df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+        found = {}
+        for r in multi_index.search(df, df).collect():
+            found.setdefault(r.query_id, set()).add(r.vec_id)
+        assert {i: len(x) for i, x in found.items()} == {i: min(20, n - 1) for i in range(n)}
