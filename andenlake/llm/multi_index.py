@@ -4,9 +4,10 @@ A vector's two halves are quantised separately, so ``K`` centroids each make
 ``K * K`` cells. For a query, pairs of centroids are visited in the order of
 their summed inner product with the two halves, by a heap over the two sorted
 lists, until the visited cells hold ``share`` of all distinct vectors, and one
-more than a query can return (all, if there are fewer); their entries are then
-scored exactly. Vectors without structure need a large share
-(README), so work grows with queries times vectors; blocks keep it out of memory.
+more than a query can return (all, if there are fewer); only their entries count.
+Vectors without structure need a large share (README), so every pair of a query
+and an entry is multiplied, in blocks that keep it out of memory, and the visited
+cells are applied as a mask. What may be among the nearest is then scored exactly.
 
 Equal vectors are one entry that carries its smallest ids: never more than a
 query can return, so nothing is lost and a very common vector costs one entry.
