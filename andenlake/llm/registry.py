@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from andenlake.llm import (bpe, langid, line_dedup, lm_score, multi_index,
+from andenlake.llm import (bpe, ffd_packing, langid, line_dedup, lm_score, multi_index,
                            packing, quality_cascade, secret_scan, simhash,
                            suffix_dedup)
 from andenlake.llm.shared import documents
@@ -56,6 +56,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
 
 
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ffd_packing.pack(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_lm_score": op1_lm_score,
     "op2_language_id": op2_language_id,
@@ -67,6 +71,7 @@ QUERIES = {
     "op8_bpe": op8_bpe,
     "op9_quality_rules": op9_quality_rules,
     "op10_packing": op10_packing,
+    "op13_packing": op13_packing,
 }
 SQL: dict[str, str] = {
     "op9_quality_rules": r"""
