@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from andenlake.llm import (bpe, ffd_packing, langid, line_dedup, lm_score, multi_index,
-                           packing, quality_cascade, secret_scan, simhash,
+from andenlake.llm import (bpe, ffd_packing, langid, line_dedup, lm_score, merkle,
+                           merkle_sql, multi_index, packing, quality_cascade, secret_scan, simhash,
                            suffix_dedup)
 from andenlake.llm.shared import documents
 
@@ -56,6 +56,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.proofs(documents(spark, sf_dir))
+
+
 def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ffd_packing.pack(documents(spark, sf_dir))
 
@@ -71,9 +75,11 @@ QUERIES = {
     "op8_bpe": op8_bpe,
     "op9_quality_rules": op9_quality_rules,
     "op10_packing": op10_packing,
+    "op11_merkle": op11_merkle,
     "op13_packing": op13_packing,
 }
 SQL: dict[str, str] = {
+    "op11_merkle": merkle_sql.proofs(),
     "op9_quality_rules": r"""
 with d as (
   select doc_id, coalesce(text, '') as text,

@@ -86,7 +86,7 @@ def test_one_id_and_text_on_all_rows(spark, monkeypatch):
     got = ffd_packing.pack(df).toPandas()
     check_places(got)
     assert got["length"].sum() == 1000 * 4
-    lots = got.groupby(got["sequence_id"] >> 32)["length"].sum()
+    lots = got.groupby(got["sequence_id"] // 2 ** 32)["length"].sum()
     assert len(lots) == 20 and lots.max() < 5 * lots.mean()
 
 
