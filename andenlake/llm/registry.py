@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from andenlake.llm import (bpe, ffd_packing, langid, line_dedup, lm_score, merkle,
                            merkle_sql, multi_index, packing, quality_cascade, secret_scan, simhash,
-                           suffix_dedup)
+                           suffix_dedup, whitening)
 from andenlake.llm.shared import documents
 
 
@@ -60,6 +60,10 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.proofs(documents(spark, sf_dir))
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(documents(spark, sf_dir, "embeddings"))
+
+
 def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ffd_packing.pack(documents(spark, sf_dir))
 
@@ -76,6 +80,7 @@ QUERIES = {
     "op9_quality_rules": op9_quality_rules,
     "op10_packing": op10_packing,
     "op11_merkle": op11_merkle,
+    "op12_whitening": op12_whitening,
     "op13_packing": op13_packing,
 }
 SQL: dict[str, str] = {
