@@ -139,21 +139,17 @@ pairs as (
   where x.id <> y.id and 100 * x.n >= 80 * y.n and 100 * y.n >= 80 * x.n
   group by x.id, y.id, x.n, y.n
   having 100 * count(*) >= 80 * (x.n + y.n - count(*))),
-low as (
-  select a as id, count(*) as links, min(s.first) as low
-  from pairs join s on s.id = pairs.b group by a),
+gone as (
+  select a as id from pairs join s x on x.id = pairs.a join s y on y.id = pairs.b
+  where y.first < x.first group by a),
 k as (
-  select first.doc_id as doc_id, first.line as line, coalesce(links, 0) as links,
-         low is null or first < low as kept
-  from s left join low using (id)),
+  select first.doc_id as doc_id, first.line as line
+  from s anti join gone using (id)),
 d as (
-  select l.doc_id, count(*) as n_lines,
-         count(*) filter (where not coalesce(k.kept, false)) as n_removed,
-         string_agg(l.line::varchar, ',' order by l.line)
-           filter (where not coalesce(k.kept, false)) as removed,
-         coalesce(sum(links), 0)::bigint as n_links
+  select l.doc_id, count(*) as n_lines, count(*) filter (where k.line is null) as n_removed,
+         string_agg(l.line::varchar, ',' order by l.line) filter (where k.line is null) as removed
   from l left join k on l.doc_id = k.doc_id and l.line = k.line group by l.doc_id)
 select doc_id, coalesce(n_lines, 0) as n_lines, coalesce(n_removed, 0) as n_removed,
-       coalesce(removed, '') as removed, coalesce(n_links, 0) as n_links
+       coalesce(removed, '') as removed
 from documents left join d using (doc_id)""",
 }

@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from andenlake.llm.components import components
@@ -52,12 +52,17 @@ def fingerprint(utf8: bytes, words: int = SHINGLE_WORDS) -> int:
 
 
 def fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
-    """doc_id, fp (the 64 bits as a signed long)."""
+    """doc_id, key (hash of the text), fp (the 64 bits as a signed long)."""
     def work(rows):
         values = np.array([fingerprint(t, words) for t in rows["utf8"]], "u8")
-        return {"doc_id": rows["doc_id"], "fp": pa.array(values.view("i8"))}
+        return {"doc_id": rows["doc_id"], "key": rows["key"], "fp": pa.array(values.view("i8"))}
 
-    return map_batches(texts(docs), work, "doc_id long, fp long")
+    return map_batches(texts(docs, text_key(F.col("text")).alias("key")), work,
+                       "doc_id long, key long, fp long")
+
+
+def text_key(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text.cast("binary"), F.lit(b"")))
 
 
 def leading_bits(fps: DataFrame, bits: int, flips: int) -> DataFrame:
@@ -166,17 +171,39 @@ def _frame(tree: np.ndarray):
     return pd.DataFrame({"a": tree[:, 0].view("i8"), "b": tree[:, 1].view("i8")})
 
 
+def grouped(marked: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """fp, root (the same for all fingerprints of a group), first (smallest doc_id)."""
+    classes = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "classes")
+    groups = components(links(classes.select("fp"), radius), "a", "b")
+    return classes.join(groups, classes.fp == groups.node, "left").select(
+        "fp", F.coalesce("root", "fp").alias("root"), "first")
+
+
 def near_duplicates(docs: DataFrame, radius: int = RADIUS,
                     words: int = SHINGLE_WORDS) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id: smallest doc_id reachable over
     links of ``radius`` or fewer differing bits, itself included."""
     marked = stored(fingerprints(docs, words), "fingerprints")
-    classes = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "classes")
-    groups = components(links(classes.select("fp"), radius), "a", "b")
-    root = F.coalesce("root", "fp")
-    placed = classes.join(groups, classes.fp == groups.node, "left").select(
-        "fp", root.alias("root"), "first")
+    placed = grouped(marked, radius)
     smallest = placed.groupBy("root").agg(F.min("first").alias("component_id"))
     member = stored(placed.join(smallest, "root").select("fp", "component_id"), "members")
     return marked.join(member, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def first_of_groups(docs: DataFrame, radius: int = RADIUS,
+                    words: int = SHINGLE_WORDS) -> DataFrame:
+    """One row of ``docs`` for each group: the smallest id, rows without id last, then the
+    smallest text hash. Of rows equal in id and text one stays. Columns of any name pass on."""
+    marked = stored(fingerprints(docs, words), "fingerprints")
+    placed = stored(grouped(marked, radius).select("fp", "root"), "members")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")
+    chosen = stored(marked.join(placed, "fp").groupBy("root").agg(F.min(order).alias("at"))
+                    .select(F.col("at.doc_id").alias("first"), F.col("at.key").alias("of")),
+                    "chosen")
+    row = F.col("row")
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"),
+                       text_key(F.col("text")).alias("key"))
+    kept = rows.join(chosen, (F.col("key") == F.col("of"))
+                     & F.col("id").eqNullSafe(F.col("first")), "left_semi")
+    return kept.dropDuplicates(["id", "key"]).select(row).select("row.*")

@@ -51,6 +51,39 @@ def test_every_stage_against_brute_force(spark):
     assert packed.groupby("sequence_id")["length"].sum().max() <= packing.CAPACITY
 
 
+def test_empty_table_and_columns_of_any_name(spark):
+    names = "row string, kept string, new string, key long, id long, first long, lang string"
+    full = spark.createDataFrame(
+        [(1, "one line of words here", 22, "s", "a", "b", "c", 4, 5, 6, None),
+         (2, "one line of words here", 22, "s", "a", "b", "c", 4, 5, 6, "en"),
+         (None, None, None, None, None, None, None, None, None, None, None),
+         (3, "another text, password: hunter2hunter2", 9, "s", "d", "e", "f", 7, 8, 9, "en")],
+        f"doc_id long, text string, n_chars long, source string, {names}")
+    for docs in (full, full.limit(0)):
+        at = docs
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            at = stored(stage(spark, at, SMALL), name)
+            assert at.columns == docs.columns
+        kept = {r.doc_id: r for r in at.collect()}
+        if docs is full:
+            assert set(kept) == {1, 3} and "hunter2" not in kept[3].text
+            assert (kept[1].row, kept[1].new, kept[1].key, kept[1].first) == ("a", "c", 4, 6)
+        else:
+            assert not kept
+        packed = corpus_pipeline.STAGES[-1][1](spark, at, SMALL)
+        assert {r.doc_id for r in packed.collect()} == set(kept)
+
+
+def test_near_dedup_stage_keeps_one_of_each_group(spark):
+    """On raw texts, where the stage has groups to work on."""
+    docs = documents(spark, SMALL)
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    groups = slow_components([i for i, _ in rows], [slow_fingerprint(t) for _, t in rows])
+    assert len(set(groups)) < len(rows)
+    got = dict(corpus_pipeline.STAGES)["near_dedup"](spark, docs, SMALL)
+    assert sorted(r.doc_id for r in got.collect()) == sorted(set(groups))
+
+
 def test_run_gives_the_packed_rows(spark):
     packed = corpus_pipeline.run(spark, SMALL).toPandas()
     assert len(packed) and packed.columns.tolist()[:2] == ["doc_id", "piece"]

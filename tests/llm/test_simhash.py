@@ -96,3 +96,25 @@ def test_chain_of_links_is_one_component(spark):
                                "a long, b long")
     assert {(r.node, r.root) for r in components(df, "a", "b").collect()} == \
         {(i, 0) for i in range(1, 51)} | {(91, 90)}
+
+
+def test_one_row_of_each_group_whatever_the_ids(spark):
+    rng = random.Random(9)
+    a, b, c = ([f"{x}{i}" for i in range(400)] for x in "abc")
+
+    def altered(words):
+        at = rng.randrange(len(words))
+        return " ".join([*words[:at], "new", *words[at + 1:]])
+
+    rows = [(7, " ".join(a)), (7, " ".join(b)), (3, altered(b)),  # 7 twice, b said by 3
+            (None, " ".join(c)), (None, " ".join(c)), (None, altered(c)),
+            (None, altered(a)), (8, "short one"), (8, "short one"), (9, None), (None, "")]
+    assert all(bin(slow_fingerprint(x) ^ slow_fingerprint(" ".join(y))).count("1") <= 4
+               for x, y in ((rows[2][1], b), (rows[5][1], c), (rows[6][1], a)))
+    df = spark.createDataFrame([(*r, k, "z") for k, r in enumerate(rows)],
+                               "doc_id long, text string, key int, row string")
+    kept = simhash.first_of_groups(df)
+    assert kept.columns == df.columns
+    found = sorted((r.doc_id or 0, (r.text or "none").split()[-1][0]) for r in kept.collect())
+    assert found == [(0, "c"), (3, "b"), (7, "a"), (8, "o"), (9, "n")]
+    assert simhash.first_of_groups(df.limit(0)).collect() == []
