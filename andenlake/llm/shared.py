@@ -46,6 +46,15 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(*frames: DataFrame) -> None:
+    """Delete tables made by ``stored`` that no later step reads."""
+    for frame in frames:
+        spark = frame.sparkSession
+        for folder in {path.rpartition("/")[0] for path in frame.inputFiles()}:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark drop the shuffle files of steps that are done and stored. It does so when
     the driver collects its garbage, which may else be long after."""

@@ -100,7 +100,7 @@ def test_chain_of_links_is_one_component(spark):
 
 def test_one_row_of_each_group_whatever_the_ids(spark):
     rng = random.Random(9)
-    a, b, c = ([f"{x}{i}" for i in range(400)] for x in "abc")
+    a, b, c = ([f"{x}{i}" for i in range(4000)] for x in "abc")
 
     def altered(words):
         at = rng.randrange(len(words))
