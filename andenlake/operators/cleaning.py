@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from andenlake.functions import calendar as cal
 from andenlake.functions import measures as m
 from andenlake.functions import text as t
-from andenlake.operators.joins import scalar
+from andenlake.operators.order_statistics import exact_median
 
 # Accepted ranges.
 FIRST_BUILD_YEAR, LAST_BUILD_YEAR = 1990, 2025
@@ -21,13 +21,8 @@ def clean_geografia(raw: DataFrame) -> DataFrame:
 
 
 def fill_with_median(df: DataFrame, name: str) -> DataFrame:
-    """Replace nulls by the exact median of the column.
-
-    The aggregate keeps one counter per distinct value, so it suits counts and
-    capacities; the result enters the plan as a scalar subquery.
-    """
-    median = scalar(df.agg(F.median(name)))
-    return df.withColumn(name, F.coalesce(name, median))
+    """Replace nulls by the exact median of the column, a scalar subquery of the plan."""
+    return df.withColumn(name, F.coalesce(name, exact_median(df, name)))
 
 
 def clean_empresas(raw: DataFrame) -> DataFrame:

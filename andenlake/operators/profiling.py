@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from andenlake.functions import measures as m
 from andenlake.functions import text as t
 from andenlake.operators.joins import scalar
+from andenlake.session import written
 
 
 def _mean(c: Column, kind: T.DataType) -> Column:
@@ -91,8 +92,10 @@ def frequencies(df: DataFrame, names: list[str]) -> DataFrame:
     present = [n for n in names if n in df.columns]
     pairs = F.array(*[F.struct(F.lit(n).alias("columna"), F.col(n).cast("string").alias("valor"))
                       for n in present])
-    total = scalar(df.agg(F.count("*")))
-    return (df.select(F.explode(pairs).alias("p")).select("p.*")
-            .filter(F.col("valor").isNotNull())
-            .groupBy("columna", "valor").agg(F.count("*").alias("cantidad"))
-            .withColumn("pct", m.half_up(m.percentage(F.col("cantidad"), total), 1)))
+    # Counted once and kept: the total is the sum over one column's values, nulls included.
+    counted = written(df.select(F.explode(pairs).alias("p")).select("p.*")
+                      .groupBy("columna", "valor").agg(F.count("*").alias("cantidad")),
+                      "frequencies")
+    total = scalar(counted.filter(F.col("columna") == present[0]).agg(F.sum("cantidad")))
+    return counted.filter(F.col("valor").isNotNull()).withColumn(
+        "pct", m.half_up(m.percentage(F.col("cantidad"), total), 1))

@@ -1,17 +1,18 @@
-"""Data-quality rules. Each table is checked by one aggregation pass; a report
-has the rows ``(tabla, regla, violaciones, total, ok)``."""
+"""Data-quality rules. A report has the rows ``(tabla, regla, violaciones, total, ok)``.
+Silver tables are checked by what is observed while they are written; gold tables by one
+aggregation pass each."""
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from andenlake import schemas
+from andenlake.functions import measures as m
 from andenlake.functions.measures import CHANNELS
 from andenlake.operators.enrich import country_series
-from andenlake.operators.joins import scalar
 
 # Accepted domains and limits.
 COMPANY_STATES = ["Activa", "Suspendida", "Inhabilitada"]
@@ -83,18 +84,6 @@ def check_rows(df: DataFrame, table: str, rules: dict[str, Column]) -> DataFrame
                     (F.col("linea.violaciones") == 0).alias("ok")))
 
 
-def check_count(before: DataFrame, after: DataFrame, table: str, rule: str,
-                min_share: float = 1.0) -> DataFrame:
-    """Rows lost between two frames; passes if at least ``min_share`` is left
-    (exactly as many rows for a share of 1)."""
-    total = scalar(before.agg(F.count("*")))
-    counted = after.agg(F.count("*").alias("kept")).withColumn("total", total)
-    lost = F.col("total") - F.col("kept")
-    ok = lost == 0 if min_share == 1.0 else F.col("kept") >= F.col("total") * min_share
-    return counted.select(F.lit(table).alias("tabla"), F.lit(rule).alias("regla"),
-                          lost.alias("violaciones"), "total", ok.alias("ok"))
-
-
 def check_unique(df: DataFrame, table: str, key: str) -> DataFrame:
     """Rows beyond the first of each key, and rows without a key."""
     groups = df.groupBy(key).agg(F.count("*").alias("n"))
@@ -109,34 +98,70 @@ def union_reports(reports: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, reports)
 
 
-def retention_report(raw: dict[str, DataFrame], clean: dict[str, DataFrame]) -> DataFrame:
-    """Raw, kept and lost rows per cleaned table."""
-    return union_reports([
-        check_count(raw[name], clean[name], name, "registros conservados", share)
-        for name, share in KEPT_SHARE.items()])
+REPORT = "tabla string, regla string, violaciones bigint, total bigint, ok boolean"
+INTEGRATED = "dataset_integrado"
+
+
+class Watch:
+    """Metrics of tables, taken while one job reads and writes them.
+
+    ``raw`` and ``clean`` pass a frame on and note how many rows go through it and how many
+    break each rule. Once a job has consumed the frames, the reports know the raw, the kept
+    and the rule-breaking rows of every table without another scan. Each job counts for
+    itself: the frames are to be consumed once."""
+
+    def __init__(self) -> None:
+        self.seen: dict[tuple[str, str], Observation] = {}
+        self.rules: dict[str, list[str]] = {}
+
+    def raw(self, name: str, df: DataFrame) -> DataFrame:
+        self.seen["raw", name] = Observation()
+        return df.observe(self.seen["raw", name], F.count(F.lit(1)).alias("total"))
+
+    def clean(self, name: str, df: DataFrame) -> DataFrame:
+        rules = row_rules().get(name, {})
+        self.rules[name], self.seen["clean", name] = list(rules), Observation()
+        broken = [F.count_if(~F.coalesce(rule, F.lit(False))).alias(f"v{i}")
+                  for i, rule in enumerate(rules.values())]
+        return df.observe(self.seen["clean", name], F.count(F.lit(1)).alias("total"), *broken)
 
+    def count(self, state: str, name: str, metric: str = "total") -> int:
+        return self.seen[state, name].get.get(metric) or 0
 
-def integration_report(ventas: DataFrame, integrated: DataFrame,
-                       benchmark: DataFrame) -> DataFrame:
-    table = "dataset_integrado"
-    return union_reports([
-        check_count(ventas, integrated, table, "registros conservados"),
-        check_rows(integrated, table, row_rules()[table]),
-        check_unique(country_series(benchmark), "cepal_transporte_pasajeros", "anio"),
-    ])
+    def row_lines(self, name: str) -> list[tuple]:
+        total = self.count("clean", name)
+        found = [(rule, self.count("clean", name, f"v{i}"))
+                 for i, rule in enumerate(self.rules[name])]
+        return [(name, rule, n, total, n == 0) for rule, n in found]
 
+    def kept_line(self, name: str, min_share: float, before: int | None = None) -> tuple:
+        """Rows lost; passes if at least ``min_share`` is left."""
+        total = self.count("raw", name) if before is None else before
+        lost = total - self.count("clean", name)
+        ok = lost == 0 if min_share == 1.0 else total - lost >= total * min_share
+        return name, "registros conservados", lost, total, ok
 
-def silver_report(raw: dict[str, DataFrame], clean: dict[str, DataFrame],
-                  integrated: DataFrame) -> DataFrame:
-    """All checks of the silver layer."""
-    row_checks = [check_rows(clean[name], name, rules)
-                  for name, rules in row_rules().items() if name in clean]
-    return union_reports([
-        *row_checks,
-        retention_report(raw, clean),
-        integration_report(clean["ventas_pasajes"], integrated,
-                           clean["cepal_transporte_pasajeros"]),
-    ])
+    def retention_lines(self) -> list[tuple]:
+        return [self.kept_line(name, share) for name, share in KEPT_SHARE.items()]
+
+    def silver_lines(self) -> list[tuple]:
+        """All checks but the one that needs a grouping."""
+        joined = self.kept_line(INTEGRATED, 1.0, before=self.count("clean", "ventas_pasajes"))
+        return [*[line for name in self.rules for line in self.row_lines(name)],
+                *self.retention_lines(), joined]
+
+
+def silver_report(watch: Watch, benchmark: DataFrame) -> DataFrame:
+    """All checks of the silver layer, from a watch whose frames have been consumed."""
+    lines = benchmark.sparkSession.createDataFrame(watch.silver_lines(), REPORT)
+    return lines.unionByName(check_unique(country_series(benchmark),
+                                          "cepal_transporte_pasajeros", "anio"))
+
+
+def retention_report(spark: SparkSession, watch: Watch) -> DataFrame:
+    """Raw and lost rows per cleaned table, and the share lost in percent."""
+    return spark.createDataFrame(watch.retention_lines(), REPORT).withColumn(
+        "pct_perdido", m.half_up(m.percentage(F.col("violaciones"), F.col("total")), 1))
 
 
 def primary_key_report(tables: dict[str, DataFrame]) -> DataFrame:
@@ -187,6 +212,11 @@ def gold_report(tables: dict[str, DataFrame]) -> DataFrame:
                           not_null_report(tables)])
 
 
+def settled(report: DataFrame) -> DataFrame:
+    """The report's rows worked out once: one for each rule, so they fit the driver."""
+    return report.sparkSession.createDataFrame(report.collect(), report.schema)
+
+
 def enforce(report: DataFrame) -> None:
     """Raise if a rule failed. At most one row per rule reaches the driver."""
     failed = report.filter(~F.col("ok")).collect()

@@ -1,8 +1,10 @@
 """The six business views over the star schema.
 
-Every view first reduces the fact to cells of (dimension key, period), where a
-hot route or company collapses map-side, and joins the dimension to the cells.
-The fact itself is never shuffled row by row, whatever the dimension's size.
+All measures are additive, so the views roll up from cells: one row for each route,
+company and day, with counts and sums. A stored star holds the cells as a table of its
+own, written once from the fact; the views then never read a ticket. Without it a view
+reduces the fact to its own groups first, where a hot route or company collapses
+map-side. Either way dimensions are joined to groups and never to the fact.
 """
 
 from __future__ import annotations
@@ -20,34 +22,49 @@ from andenlake.operators.joins import scalar
 @dataclass(frozen=True)
 class Gold:
     """The star. Without ``dim_tiempo`` the period columns are computed from the
-    time key, which spells the date; with it they come from an inner join."""
+    time key, which spells the date; with it they come from an inner join. ``cells``
+    are the additive measures by route, company and day; ``years`` the years of cells
+    and fact, where a stored star is partitioned by them."""
 
     fact_ventas: DataFrame
     dim_ruta: DataFrame | None = None
     dim_empresa: DataFrame | None = None
     dim_tiempo: DataFrame | None = None
+    cells: DataFrame | None = None
+    years: tuple[int, ...] | None = None
+
+    @property
+    def rows(self) -> DataFrame:
+        """What the views read: cells, or else the fact."""
+        return self.fact_ventas if self.cells is None else self.cells
 
     def timed(self, *columns: str) -> DataFrame:
-        """Fact rows with the named calendar columns."""
+        """``rows`` with the named calendar columns."""
         if self.dim_tiempo is None:
-            return self.fact_ventas.withColumns(cal.key_attributes("sk_tiempo", columns))
-        # A fact written by year already carries that column.
-        fact = self.fact_ventas.drop(*columns)
-        return fact.join(self.dim_tiempo.select("sk_tiempo", *columns), "sk_tiempo")
+            return self.rows.withColumns(cal.key_attributes("sk_tiempo", columns))
+        # A table written by year already carries that column.
+        return self.rows.drop(*columns).join(
+            self.dim_tiempo.select("sk_tiempo", *columns), "sk_tiempo")
 
     def latest_year(self) -> Gold:
-        """Only the tickets of the last year present. The year is a scalar
-        subquery over the key column, so it prunes before any aggregation."""
-        if self.dim_tiempo is None:
-            last = scalar(self.fact_ventas.agg(cal.key_year(F.max("sk_tiempo"))))
+        """Only the tickets of the last year present. In a stored star that is the last
+        partition; else a scalar subquery over the key column, which prunes before any
+        aggregation."""
+        if self.years is not None:
+            last = F.lit(max(self.years, default=None)).cast("int")
+        elif self.dim_tiempo is None:
+            last = scalar(self.rows.agg(cal.key_year(F.max("sk_tiempo"))))
         else:
-            used = self.fact_ventas.select("sk_tiempo").distinct()
+            used = self.rows.select("sk_tiempo").distinct()
             last = scalar(used.join(self.dim_tiempo, "sk_tiempo").agg(F.max("anio")))
-        if "anio" in self.fact_ventas.columns:
-            in_year = F.col("anio") == last
-        else:
-            in_year = F.col("sk_tiempo").between(last * 10000, last * 10000 + 9999)
-        return replace(self, fact_ventas=self.fact_ventas.filter(in_year))
+
+        def in_year(rows: DataFrame) -> DataFrame:
+            if "anio" in rows.columns:
+                return rows.filter(F.col("anio") == last)
+            return rows.filter(F.col("sk_tiempo").between(last * 10000, last * 10000 + 9999))
+
+        return replace(self, fact_ventas=in_year(self.fact_ventas),
+                       cells=None if self.cells is None else in_year(self.cells))
 
 
 def _measure(name: str) -> Column:
@@ -71,9 +88,24 @@ def _measure(name: str) -> Column:
     return F.sum("cepal_volumen_pasajeros_km")  # "volume"
 
 
-def _cells(rows: DataFrame, keys: list[str], measures: str) -> DataFrame:
-    """Additive measures per key, the first and only pass over the fact rows."""
-    return rows.groupBy(*keys).agg(*[_measure(n).alias(n) for n in measures.split()])
+MEASURES = "n n_sold n_lost paid seats km lost_fare list_fare volume"
+
+
+def cells(fact: DataFrame, tiempo: DataFrame) -> DataFrame:
+    """All measures by route, company and day, for the days of the time dimension."""
+    days = fact.drop("anio").join(tiempo.select("sk_tiempo", "anio"), "sk_tiempo")
+    return days.groupBy("sk_ruta", "sk_empresa", "sk_tiempo", "anio").agg(
+        *[_measure(n).alias(n) for n in MEASURES.split()])
+
+
+def _cells(gold: Gold, times: list[str], keys: list[str], measures: str) -> DataFrame:
+    """Additive measures per key, the first and only pass over the rows. A sum of sums has
+    the type of the sum, so both ways give the same columns."""
+    rows, names = gold.timed(*times), measures.split()
+    if gold.cells is None:
+        return rows.groupBy(*keys).agg(*[_measure(n).alias(n) for n in names])
+    return rows.groupBy(*keys).agg(*[F.sum(n).cast(rows.schema[n].dataType).alias(n)
+                                     for n in names])
 
 
 def _sum(name: str, out: str | None = None) -> Column:
@@ -86,7 +118,7 @@ def occupancy(gold: Gold) -> DataFrame:
     Seats are counted once per ticket, as the view is defined; the rate is
     therefore about 100 / seats per bus and not a load factor.
     """
-    cells = _cells(gold.timed("anio", "mes"), ["sk_ruta", "anio", "mes"], "n_sold seats paid")
+    cells = _cells(gold, ["anio", "mes"], ["sk_ruta", "anio", "mes"], "n_sold seats paid")
     route = gold.dim_ruta.select(
         "sk_ruta", F.col("ciudad_origen").alias("origen"), F.col("ciudad_destino").alias("destino"),
         "tipo_corredor", "distancia_km", "tarifa_base")
@@ -108,7 +140,7 @@ def occupancy(gold: Gold) -> DataFrame:
 
 def revenue_per_km(gold: Gold) -> DataFrame:
     """KPI 2: revenue per passenger-kilometre, per route and quarter."""
-    cells = _cells(gold.timed("anio", "trimestre"), ["sk_ruta", "anio", "trimestre"],
+    cells = _cells(gold, ["anio", "trimestre"], ["sk_ruta", "anio", "trimestre"],
                    "n n_sold paid km volume list_fare")
     route = gold.dim_ruta.select("sk_ruta", "ciudad_origen", "ciudad_destino", "tipo_corredor",
                                  "distancia_km")
@@ -138,7 +170,7 @@ def seasonal_index(gold: Gold, by_month: bool = False) -> DataFrame:
     """
     flags = [] if by_month else ["es_semana_santa", "es_feria_tarija", "es_fin_anio"]
     keys = ["anio", "mes", *flags]
-    periods = _cells(gold.timed(*keys), keys, "n_sold n_lost paid")
+    periods = _cells(gold, keys, keys, "n_sold n_lost paid")
     year = Window.partitionBy("anio")  # at most a few dozen rows a year
     tickets = F.col("n_sold")
     rated = periods.withColumns({
@@ -161,7 +193,7 @@ def seasonal_index(gold: Gold, by_month: bool = False) -> DataFrame:
 
 def cancellations(gold: Gold) -> DataFrame:
     """KPI 4: cancelled tickets and lost revenue, per company and month."""
-    cells = _cells(gold.timed("anio", "mes"), ["sk_empresa", "anio", "mes"],
+    cells = _cells(gold, ["anio", "mes"], ["sk_empresa", "anio", "mes"],
                    "n n_lost n_sold lost_fare paid")
     company = gold.dim_empresa.select("sk_empresa", "nombre_empresa", "tipo_empresa",
                                       "estado_empresa")
@@ -194,20 +226,37 @@ def growth_from_years(years: DataFrame) -> DataFrame:
 
 def yearly_growth(gold: Gold) -> DataFrame:
     """OKR: revenue growth per year against the 15 % goal."""
-    years = _cells(gold.timed("anio"), ["anio"], "n_sold n_lost paid").select(
+    years = _cells(gold, ["anio"], ["anio"], "n_sold n_lost paid").select(
         "anio", F.col("n_sold").alias("total_pasajes"),
         F.col("paid").alias("ingreso_total_bs"), F.col("n_lost").alias("total_cancelados"))
     return growth_from_years(years)
 
 
 def executive_summary(gold: Gold) -> DataFrame:
-    """One row of global figures."""
-    sold = F.col("es_cancelado") == 0
-    counted = gold.timed("fecha").agg(
-        F.count("*").alias("n"), F.count_if(sold).alias("total_pasajes_vendidos"),
-        m.sum_when(sold, F.col("monto_pagado")).alias("ingreso_total_bs"),
-        F.countDistinct("sk_ruta").alias("rutas_activas"),
-        F.countDistinct("sk_empresa").alias("empresas_activas"),
+    """One row of global figures.
+
+    Surrogate keys are dense, so the distinct routes and companies are counted in bitmaps:
+    one for every 32,768 keys, filled before the shuffle and merged after it. Counting
+    two columns distinct would send every row on once for each of them."""
+    pairs = _cells(gold, ["fecha"], ["sk_ruta", "sk_empresa", "fecha"], "n n_sold paid")
+
+    def part(kind: str, key: str, used: bool) -> Column:
+        amounts = [F.when(F.lit(used), F.col(c)).alias(c) for c in ("n", "n_sold", "paid")]
+        return F.struct(F.lit(kind).alias("kind"), F.bitmap_bucket_number(key).alias("bucket"),
+                        F.bitmap_bit_position(key).alias("bit"), "fecha", *amounts)
+
+    both = F.array(part("ruta", "sk_ruta", True), part("empresa", "sk_empresa", False))
+    maps = pairs.select(F.explode(both).alias("p")).select("p.*").groupBy("kind", "bucket").agg(
+        F.bitmap_count(F.bitmap_construct_agg("bit")).alias("keys"),
+        *[_sum(c) for c in ("n", "n_sold", "paid")], F.max("fecha").alias("fecha"))
+
+    def keys(kind: str) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("keys"))), F.lit(0))
+
+    counted = maps.agg(
+        _sum("n"), F.coalesce(F.sum("n_sold"), F.lit(0)).alias("total_pasajes_vendidos"),
+        F.sum("paid").cast(pairs.schema["paid"].dataType).alias("ingreso_total_bs"),
+        keys("ruta").alias("rutas_activas"), keys("empresa").alias("empresas_activas"),
         F.max("fecha").alias("ultimo_registro"))
     tickets, paid = F.col("total_pasajes_vendidos"), F.col("ingreso_total_bs")
     return counted.select(

@@ -14,11 +14,12 @@ from andenlake.operators import profiling, quality, star
 from andenlake.operators.cleaning import CLEANERS
 from andenlake.operators.counts import row_counts
 from andenlake.operators.enrich import integrate
+from andenlake.plans import kpis
 from andenlake.plans.kpis import Gold
-from andenlake.sources import indicator, snapshots
+from andenlake.sources import indicator, snapshots, versions
 
 SERIES = "cepal_transporte_pasajeros"
-INTEGRATED = "dataset_integrado"
+INTEGRATED = quality.INTEGRATED
 
 
 def land_bronze(spark: SparkSession, read_table: Callable[[str], DataFrame], bronze: str,
@@ -58,16 +59,26 @@ def profile_bronze(tables: dict[str, DataFrame], out: str) -> None:
 
 def build_silver(spark: SparkSession, bronze: str, silver: str, ingest_date: dt.date,
                  strict: bool = True) -> DataFrame:
-    """Clean and integrate every table. In strict mode a failed rule raises
-    before the first write, so no partial layer appears. Returns the report."""
-    raw = read_bronze(spark, bronze)
-    clean = {name: CLEANERS[name](df) for name, df in raw.items()}
-    integrated = integrate(clean["ventas_pasajes"], clean[SERIES])
-    report = quality.silver_report(raw, clean, integrated)
-    if strict:
-        quality.enforce(report)
-    for name, df in {**clean, INTEGRATED: integrated}.items():
-        snapshots.land(df, silver, name, ingest_date)
+    """Clean and integrate every table. Each is written once, beside the layer, and what
+    passes is observed in that write. In strict mode a failed rule raises and nothing of the
+    run appears; else the written tables become the snapshots of the date. Returns the
+    report."""
+    aside = versions.new(f"{silver}_staged")
+    watch, clean = quality.Watch(), {}
+    for name, df in read_bronze(spark, bronze).items():
+        cleaned = watch.clean(name, CLEANERS[name](watch.raw(name, df)))
+        snapshots.land(cleaned, aside, name, ingest_date)
+        clean[name] = snapshots.latest(spark, aside, name)
+    integrated = watch.clean(INTEGRATED, integrate(clean["ventas_pasajes"], clean[SERIES]))
+    snapshots.land(integrated, aside, INTEGRATED, ingest_date)
+    report = quality.settled(quality.silver_report(watch, clean[SERIES]))
+    try:
+        if strict:
+            quality.enforce(report)
+        for name in [*clean, INTEGRATED]:
+            snapshots.move(spark, aside, silver, name, ingest_date)
+    finally:
+        versions.discard(spark, aside)
     return report
 
 
@@ -96,48 +107,76 @@ def gold_tickets(spark: SparkSession, silver: str, use_itineraries: bool = False
     return star.units_from_itineraries(tickets.drop("id_unidad"), itineraries)
 
 
-def write_dimension(df: DataFrame, gold: str, name: str) -> None:
-    df.write.mode("overwrite").parquet(f"{gold}/{name}")
+CELLS = "celdas_ventas"
 
 
-def write_fact(fact: DataFrame, gold: str) -> None:
-    """Fact by year, ordered by route inside each file. The rebalance splits a
-    year that is too large for one task and merges small ones."""
-    (fact.withColumn("anio", cal.key_year("sk_tiempo")).hint("rebalance", "anio")
-     .sortWithinPartitions("anio", "sk_ruta")
-     .write.option("partitionOverwriteMode", "static")
-     .partitionBy("anio").mode("overwrite").parquet(f"{gold}/fact_ventas"))
+def _write_by_year(df: DataFrame, path: str) -> None:
+    """By year, ordered by route inside each file. The rebalance splits a year that is too
+    large for one task and merges small ones."""
+    (df.hint("rebalance", "anio").sortWithinPartitions("anio", "sk_ruta")
+     .write.partitionBy("anio").parquet(path))
 
 
-def read_gold(spark: SparkSession, gold: str) -> dict[str, DataFrame]:
+def _gold_schema(name: str) -> T.StructType:
+    declared = T.StructType(list(schemas.GOLD[name].fields))
+    return declared.add("anio", T.IntegerType()) if name == "fact_ventas" else declared
+
+
+def write_star(spark: SparkSession, folder: str, dims: dict[str, DataFrame], tickets: DataFrame,
+               unique: bool = False) -> None:
+    """Write a whole star: dimensions first, then the fact looked up against the written
+    dimensions, then the cells of the views. ``unique``: no source id occurs twice."""
+    for name, df in dims.items():
+        df.write.parquet(f"{folder}/{name}")
+    known = {name: spark.read.schema(_gold_schema(name)).parquet(f"{folder}/{name}")
+             for name in dims}
+    fact = star.fact_ventas(tickets, known["dim_tiempo"], known, unique=unique)
+    _write_by_year(fact.withColumn("anio", cal.key_year("sk_tiempo")), f"{folder}/fact_ventas")
+    written = spark.read.schema(_gold_schema("fact_ventas")).parquet(f"{folder}/fact_ventas")
+    _write_by_year(kpis.cells(written, known["dim_tiempo"]), f"{folder}/{CELLS}")
+
+
+def read_star(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """Gold tables with their declared types. Dimension sizes are known from
     the files, so Spark itself decides what to broadcast."""
-    def schema(name: str) -> T.StructType:
-        declared = T.StructType(list(schemas.GOLD[name].fields))
-        return declared.add("anio", T.IntegerType()) if name == "fact_ventas" else declared
-
-    return {name: spark.read.schema(schema(name)).parquet(f"{gold}/{name}")
+    return {name: spark.read.schema(_gold_schema(name)).parquet(f"{folder}/{name}")
             for name in schemas.GOLD}
 
 
+def open_star(spark: SparkSession, folder: str) -> Gold:
+    """The star as the views read it; its years are those of the partitions of the cells."""
+    t = read_star(spark, folder)
+    years = snapshots.partition_values(spark, f"{folder}/{CELLS}", "anio")
+    return Gold(t["fact_ventas"], t["dim_ruta"], t["dim_empresa"], t["dim_tiempo"],
+                spark.read.parquet(f"{folder}/{CELLS}") if years else None,
+                tuple(map(int, years)))
+
+
+def read_gold(spark: SparkSession, gold: str) -> dict[str, DataFrame]:
+    """Tables of the current version."""
+    return read_star(spark, versions.current(spark, gold))
+
+
 def open_gold(spark: SparkSession, gold: str) -> Gold:
-    t = read_gold(spark, gold)
-    return Gold(t["fact_ventas"], t["dim_ruta"], t["dim_empresa"], t["dim_tiempo"])
+    return open_star(spark, versions.current(spark, gold))
 
 
 def build_gold(spark: SparkSession, silver: str, gold: str, strict: bool = True,
                use_itineraries: bool = False) -> DataFrame:
-    """Full refresh: dimensions first, then the fact looked up against the
-    written dimensions. Returns the constraint report."""
-    for name, df in gold_dimensions(spark, silver).items():
-        write_dimension(df, gold, name)
-    dims = {name: spark.read.schema(schema).parquet(f"{gold}/{name}")
-            for name, schema in schemas.GOLD.items() if name.startswith("dim_")}
-    tickets = gold_tickets(spark, silver, use_itineraries)
-    write_fact(star.fact_ventas(tickets, dims["dim_tiempo"], dims), gold)
-    report = quality.gold_report(read_gold(spark, gold))
+    """Full refresh: a new version is written beside the current one, checked, and published
+    only then. In strict mode a failed rule raises and deletes it; readers keep the version
+    before. Returns the constraint report."""
+    version = versions.new(gold)
+    write_star(spark, version, gold_dimensions(spark, silver),
+               gold_tickets(spark, silver, use_itineraries))
+    report = quality.settled(quality.gold_report(read_star(spark, version)))
     if strict:
-        quality.enforce(report)
+        try:
+            quality.enforce(report)
+        except quality.QualityError:
+            versions.discard(spark, version)
+            raise
+    versions.publish(spark, gold, version)
     return report
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from andenlake.functions import calendar as cal
 from andenlake.functions import measures as m
+from andenlake.functions import text as t
 from andenlake.operators.counts import row_counts
 from andenlake.operators.joins import scalar
 from andenlake.plans import kpis
@@ -104,6 +105,44 @@ def top_company(share: DataFrame) -> DataFrame:
     return share.orderBy(F.desc("ingresos"), "nombre_empresa").limit(1)
 
 
+# ---- the same pages over the operational tables ---------------------------------
+
+def raw_sales(ventas: DataFrame) -> DataFrame:
+    """Cells of raw tickets: channel, state, month, n, paid, n_paid.
+
+    Tickets are grouped by the spellings that occur; each distinct spelling is normalised
+    once, after that. Amounts below zero and dates that are none count as they stand."""
+    cells = ventas.groupBy("canal_venta", "estado_pasaje", "fecha_viaje").agg(
+        F.count("*").alias("n"), F.sum("monto_pagado").alias("paid"),
+        F.count("monto_pagado").alias("n_paid"))
+    return cells.select(
+        t.capitalized("canal_venta").alias("canal_venta"),
+        t.capitalized("estado_pasaje").alias("estado_pasaje"),
+        cal.month_bucket(cal.parse_date("fecha_viaje")).alias("mes"), "n", "paid", "n_paid")
+
+
+def raw_sales_totals(cells: DataFrame) -> DataFrame:
+    lost = F.col("estado_pasaje") == m.CANCELLED
+    return (cells.agg(F.coalesce(F.sum("paid"), F.lit(0)).alias("ingresos_totales"),
+                      F.coalesce(F.sum("n"), F.lit(0)).alias("pasajes_vendidos"),
+                      F.coalesce(F.sum(F.when(lost, F.col("n"))), F.lit(0)).alias("cancelados"),
+                      F.sum("n_paid").alias("__paid"))
+            .withColumn("ticket_promedio", m.ratio(F.col("ingresos_totales"), F.col("__paid")))
+            .drop("__paid"))
+
+
+def raw_sales_by(cells: DataFrame, key: str) -> DataFrame:
+    return cells.groupBy(key).agg(F.sum("n").alias("cantidad"), F.sum("paid").alias("ingresos"))
+
+
+def raw_route_ranking(ventas: DataFrame, rutas: DataFrame, geo: DataFrame) -> DataFrame:
+    """Ranking by the spellings of the city table, normalised once per pair of cities."""
+    pairs = route_ranking(ventas, rutas, geo)
+    return pairs.groupBy(t.title_case("origen").alias("origen"),
+                         t.title_case("destino").alias("destino")).agg(
+        F.sum("total_viajes").alias("total_viajes"), F.sum("ingresos").alias("ingresos"))
+
+
 # ---- KPI page --------------------------------------------------------------
 
 def top_occupancy(gold: Gold, k: int = TOP_ROWS) -> DataFrame:

@@ -13,11 +13,13 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from andenlake.operators import cleaning, star
+from andenlake.operators import cleaning, quality, star
 from andenlake.operators.enrich import integrate
 from andenlake.operators.numbering import sparse_numbers
+from andenlake.plans import pipeline
 from andenlake.plans.kpis import Gold
-from andenlake.session import written
+from andenlake.session import scratch, shared_folder
+from andenlake.sources import snapshots, versions
 
 DRIVER_SCHEMAS = {
     "region": "r_regionkey int, r_name string",
@@ -194,14 +196,11 @@ FROM (SELECT anio, total, {two} AS pais
 }
 
 
-def mapping_sql(table: str, words: dict[str, str], names: dict[str, str],
-                with_route: bool = True) -> str:
-    """The mapping of a table with the words of an engine and its table names.
-    Without routes the tickets need neither companies nor passengers."""
+def mapping_sql(table: str, words: dict[str, str], names: dict[str, str]) -> str:
+    """The mapping of a table with the words of an engine and its table names."""
     return RAW_SQL[table].format(
-        ticket_id=words["hash60"] % _TICKET_ID,
-        route=_ROUTE if with_route else "cast(NULL AS bigint)",
-        route_joins=_ROUTE_JOINS.format(**names) if with_route else "",
+        ticket_id=words["hash60"] % _TICKET_ID, route=_ROUTE,
+        route_joins=_ROUTE_JOINS.format(**names),
         all_nations=words["upto"] % f"(SELECT max(n_nationkey) FROM {names['nation']})",
         two=words["upto"] % "1", **names)
 
@@ -210,21 +209,41 @@ def driver_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(DRIVER_SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
-def raw_table(spark: SparkSession, folder: str, table: str,
-              with_route: bool = True) -> DataFrame:
-    """An operational table in its raw state."""
-    text = mapping_sql(table, SPARK, {n: f"{{{n}}}" for n in DRIVER_TABLES}, with_route)
+#: Folders of what was derived from the given files, by application, scratch folder and files.
+_LAKES: dict[tuple, str] = {}
+
+
+def lake(spark: SparkSession, folder: str) -> str:
+    """Where the tables derived from the given files are landed. They are landed once: the
+    files of a folder are told by name, size and time, so replaced ones get a new lake."""
+    key = (spark.sparkContext.applicationId, shared_folder(spark),
+           snapshots.fingerprint(spark, folder))
+    if key not in _LAKES:
+        _LAKES[key] = scratch(spark, "lake")
+    return _LAKES[key]
+
+
+def source_table(spark: SparkSession, folder: str, table: str) -> DataFrame:
+    """An operational table as the mapping gives it."""
+    text = mapping_sql(table, SPARK, {n: f"{{{n}}}" for n in DRIVER_TABLES})
     used = {n: driver_table(spark, folder, n) for n in DRIVER_TABLES if f"{{{n}}}" in text}
     return spark.sql(text, **used)
 
 
+def raw_table(spark: SparkSession, folder: str, table: str) -> DataFrame:
+    """The landed snapshot of an operational table, landed where there is none yet."""
+    bronze, source = f"{lake(spark, folder)}/bronze", source_table(spark, folder, table)
+    if not snapshots.snapshot_dates(spark, bronze, table):
+        snapshots.land(source, bronze, table, RUN_DATE)
+    return snapshots.latest(spark, bronze, table, source.schema)
+
+
 def raw_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     return {name: raw_table(spark, folder, name) for name in RAW_SQL}
 
 
-def clean_table(spark: SparkSession, folder: str, table: str,
-                with_route: bool = True) -> DataFrame:
-    return cleaning.CLEANERS[table](raw_table(spark, folder, table, with_route))
+def clean_table(spark: SparkSession, folder: str, table: str) -> DataFrame:
+    return cleaning.CLEANERS[table](raw_table(spark, folder, table))
 
 
 def clean_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
@@ -255,24 +274,63 @@ LOOKED_UP = ["dim_ruta", "dim_empresa", "dim_pasajero", "dim_unidad"]
 
 def live_gold(spark: SparkSession, folder: str, dims: str = "",
               with_benchmark: bool = False) -> Gold:
-    """The part of the star a view needs, as one lazy plan over the driver
+    """The part of the star a view needs, as one lazy plan over the raw
     tables with nothing written. ``dims`` names the dimensions looked up."""
     used = {f"dim_{d}": dimension(spark, folder, f"dim_{d}", number=sparse_numbers)
             for d in dims.split()}
     tickets = (integrated(spark, folder) if with_benchmark
-               else clean_table(spark, folder, "ventas_pasajes", "dim_ruta" in used))
+               else clean_table(spark, folder, "ventas_pasajes"))
     return Gold(star.fact_rows(tickets, used, unique=True), used.get("dim_ruta"),
                 used.get("dim_empresa"))
 
 
+def gold_folder(spark: SparkSession, folder: str) -> str:
+    """The published star over the given tables, built where there is none yet."""
+    root = f"{lake(spark, folder)}/gold"
+    try:
+        return versions.current(spark, root)
+    except versions.NoVersion:
+        dims = {"dim_tiempo": star.dim_tiempo(clean_table(spark, folder, "ventas_pasajes")),
+                **{name: dimension(spark, folder, name) for name in LOOKED_UP},
+                "dim_canal": star.dim_canal(spark)}
+        version = versions.new(root)
+        pipeline.write_star(spark, version, dims, integrated(spark, folder), unique=True)
+        versions.publish(spark, root, version)
+        return version
+
+
+def gold(spark: SparkSession, folder: str) -> Gold:
+    """The star as the views read it."""
+    return pipeline.open_star(spark, gold_folder(spark, folder))
+
+
 def gold_frames(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """All seven gold tables with dense keys. As in the pipeline the dimensions
-    are written first, so the lookups know their sizes."""
-    tiempo = written(star.dim_tiempo(clean_table(spark, folder, "ventas_pasajes")), "dim_tiempo")
-    dims = {name: written(dimension(spark, folder, name), name) for name in LOOKED_UP}
-    fact = star.fact_ventas(integrated(spark, folder), tiempo, dims, unique=True)
-    return {"dim_tiempo": tiempo, **dims, "dim_canal": star.dim_canal(spark),
-            "fact_ventas": fact}
+    """All seven gold tables."""
+    return pipeline.read_star(spark, gold_folder(spark, folder))
+
+
+def fact(spark: SparkSession, folder: str, use_itineraries: bool = False) -> DataFrame:
+    """The complete fact built anew over the star's dimensions. With ``use_itineraries`` a
+    ticket has no bus of its own and gets its itinerary's."""
+    frames, tickets = gold_frames(spark, folder), integrated(spark, folder)
+    if use_itineraries:
+        tickets = star.units_from_itineraries(tickets.drop("id_unidad"),
+                                              clean_table(spark, folder, "itinerarios"))
+    dims = {name: frames[name] for name in LOOKED_UP}
+    return star.fact_ventas(tickets, frames["dim_tiempo"], dims, unique=True)
+
+
+def watched_silver(spark: SparkSession, folder: str) -> quality.Watch:
+    """What is observed while every table is cleaned and the tickets are integrated: one scan
+    of each raw table, and nothing written."""
+    watch = quality.Watch()
+    clean = {name: watch.clean(name, cleaning.CLEANERS[name](watch.raw(name, df)))
+             for name, df in raw_tables(spark, folder).items()}
+    clean["ventas_pasajes"] = watch.clean(quality.INTEGRATED, integrate(
+        clean["ventas_pasajes"], clean_table(spark, folder, "cepal_transporte_pasajeros")))
+    for df in clean.values():
+        df.write.format("noop").mode("overwrite").save()
+    return watch
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:

@@ -51,6 +51,13 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def scratch(spark: SparkSession, label: str) -> str:
+    """A new path in the shared folder, known to ``clear_scratch``."""
+    path = f"{shared_folder(spark)}/andenlake/{label}-{uuid.uuid4().hex}"
+    _WRITTEN.append(path)
+    return path
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """Cut the lineage: write ``df`` as Parquet in the shared folder, read it back.
 
@@ -58,8 +65,7 @@ def written(df: DataFrame, label: str) -> DataFrame:
     lost executor cannot change them on recomputation.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/andenlake/{label}-{uuid.uuid4().hex}"
-    _WRITTEN.append(path)
+    path = scratch(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -30,14 +30,47 @@ def _matches(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(str(s.getPath().toString()) for s in fs.globStatus(path) or [])
 
 
+def partition_values(spark: SparkSession, folder: str, column: str) -> list[str]:
+    """Values of a partition column, from the folder names."""
+    return [p.rpartition("=")[2] for p in _matches(spark, f"{folder}/{column}=*")]
+
+
+#: A row group is the smallest piece that a task can read of a landed file.
+ROW_GROUP_BYTES = 8 << 20
+
+
 def land(df: DataFrame, root: str, table: str, ingest_date: dt.date) -> str:
     """Write the unmodified rows as the snapshot of a date. Landing a date again
     replaces that date only. An empty table is a snapshot too: its folder holds
-    a file with the schema, and it is the newest one until the next."""
-    df.write.mode("overwrite").parquet(f"{root}/{table}/{DATE_COLUMN}={ingest_date:%Y-%m-%d}")
+    a file with the schema, and it is the newest one until the next. Row groups are
+    small, so that one file is read by several tasks."""
+    df.write.mode("overwrite").option("parquet.block.size", ROW_GROUP_BYTES).parquet(f"{root}/{table}/{DATE_COLUMN}={ingest_date:%Y-%m-%d}")
     return f"{root}/{table}"
 
 
+def move(spark: SparkSession, source: str, root: str, table: str, ingest_date: dt.date) -> None:
+    """Make the snapshot of a date under ``source`` the one under ``root``."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    day = f"{table}/{DATE_COLUMN}={ingest_date:%Y-%m-%d}"
+    target = path(f"{root}/{day}")
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(target.getParent())
+    files.delete(target, True)
+    if not files.rename(path(f"{source}/{day}"), target):
+        raise OSError(f"{source}/{day} could not be moved to {root}")
+
+
+def fingerprint(spark: SparkSession, folder: str) -> tuple:
+    """Names, sizes and times of the table files of a folder: changes when one is replaced."""
+    found = []
+    for pattern in (f"{folder}/*.parquet", f"{folder}/*.parquet/*"):
+        path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        found += [(s.getPath().toString(), s.getLen(), s.getModificationTime())
+                  for s in files.globStatus(path) or []]
+    return tuple(sorted(found))
+
+
 def snapshot_dates(spark: SparkSession, root: str, table: str) -> list[str]:
     """Landed dates from the folders of finished writes, oldest first; folders
     without a date in their name are no snapshots."""
