@@ -1,4 +1,5 @@
 import datetime as dt
+import statistics
 from decimal import Decimal
 
 import pytest
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from andenlake import schemas
 from andenlake.operators import cleaning, enrich, joins, profiling, quality, star
 from andenlake.operators.numbering import dense_numbers, sparse_numbers
+from andenlake.operators.order_statistics import exact_median
 
 
 def frame(spark, table, *records):
@@ -184,8 +186,16 @@ def test_two_modes_in_a_year_are_caught(spark):
     ventas = cleaning.clean_ventas(frame(spark, "ventas_pasajes", ticket(1)))
     bench = cleaning.clean_benchmark(frame(spark, "cepal_transporte_pasajeros", series("2021"),
                                            series("2021", mode="vial")))
-    integrated = enrich.integrate(ventas, bench)
-    report = quality.integration_report(ventas, integrated, bench)
+    watch = quality.Watch()
+    for name in quality.row_rules():  # tables without a part in this
+        if name not in ("ventas_pasajes", quality.INTEGRATED):
+            watch.clean(name, watch.raw(name, spark.createDataFrame(
+                [], schemas.BRONZE[name]))).count()
+    ventas = watch.clean("ventas_pasajes", watch.raw("ventas_pasajes", ventas))
+    watch.clean(quality.INTEGRATED, enrich.integrate(ventas, bench)).write.format(
+        "noop").mode("overwrite").save()
+    report = quality.silver_report(watch, bench)
+    assert watch.count("clean", "ventas_pasajes") == 1
     failed = {r.regla for r in report.collect() if not r.ok}
     assert failed == {"registros conservados", "anio unico"}
     with pytest.raises(quality.QualityError, match="anio unico"):
@@ -203,11 +213,19 @@ def test_null_counts_as_violation(spark):
 
 
 def test_retention_threshold(spark):
-    raw = spark.range(10)
     for kept, ok in ((10, True), (9, True), (8, False)):
-        report = quality.check_count(raw, raw.limit(kept), "t", "r", 0.90).first()
-        assert (report.violaciones, report.total, report.ok) == (10 - kept, 10, ok)
-    assert not quality.check_count(raw, raw.union(raw.limit(1)), "t", "r").first().ok
+        watch = quality.Watch()
+        df = watch.raw("rutas", spark.range(10).selectExpr(
+            "id as id_ruta", "1 as distancia_km", "1 as tarifa_base"))
+        watch.clean("rutas", df.filter(F.col("id_ruta") < kept)).write.format("noop").mode(
+            "overwrite").save()
+        line = watch.kept_line("rutas", quality.KEPT_SHARE["rutas"])
+        assert line == ("rutas", "registros conservados", 10 - kept, 10, ok)
+        assert watch.kept_line("rutas", 1.0)[4] == (kept == 10)
+        assert not watch.kept_line("rutas", 1.0, before=kept - 1)[4]
+        assert watch.row_lines("rutas") == [
+            ("rutas", rule, 0, kept, True) for rule in
+            ("id_ruta no nulo", "distancia_km positivo", "tarifa_base positivo")]
 
 
 def test_unique_counts_extra_and_null_keys(spark):
@@ -336,3 +354,15 @@ def test_dim_tiempo_takes_both_dates_once(spark):
                                          ticket(3, fecha_viaje="2021-03-01")))
     assert [r.sk_tiempo for r in star.dim_tiempo(ventas).orderBy("sk_tiempo").collect()] == [
         20210301, 20210305]
+
+
+@pytest.mark.parametrize("values", [
+    [], [None, None], [3.0], [1.0, 2.0], [5.0, None, 1.0, 9.0], [2.0] * 9 + [7.0],
+    [float(x * x % 977) for x in range(5001)], [float(x) ** 9 for x in range(4000)],
+    [-1e300, 1e300, 0.0, 5.5], [float("nan"), 1.0, 2.0, 3.0], [0.1 * (x % 3) for x in range(3000)]])
+def test_exact_median(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    got = spark.range(1).select(exact_median(df, "x").alias("m")).first().m
+    real = [v for v in values if v is not None and v == v]
+    want = statistics.median(real) if real else None
+    assert got == (want if want is None else pytest.approx(want, rel=1e-15, abs=0))

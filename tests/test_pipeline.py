@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from andenlake.operators import quality
 from andenlake.plans import kpis, pipeline, testbed
-from andenlake.sources import snapshots
+from andenlake.sources import snapshots, versions
 
 DAY = dt.date(2026, 4, 7)
 
@@ -116,6 +116,64 @@ def test_rebuild_in_place_replaces(spark, layers):
     assert before == after
 
 
+def test_failed_rule_leaves_the_old_gold_readable(spark, layers, tmp_path, monkeypatch):
+    gold = str(tmp_path / "gold")
+    with pytest.raises(versions.NoVersion):
+        pipeline.read_gold(spark, gold)
+    pipeline.build_gold(spark, layers["silver"], gold)
+    first = versions.current(spark, gold)
+    before = rows(pipeline.gold_row_counts(pipeline.read_gold(spark, gold)))
+    reader = pipeline.read_gold(spark, gold)["fact_ventas"]
+    write = pipeline.write_star
+
+    def spoiled(spark, folder, dims, tickets, **options):
+        write(spark, folder, dims, tickets.unionByName(tickets.limit(3).withColumn(
+            "id_venta", F.lit(None).cast("bigint"))), **options)
+
+    monkeypatch.setattr(pipeline, "write_star", spoiled)
+    with pytest.raises(quality.QualityError, match="id_venta_origen no nulo"):
+        pipeline.build_gold(spark, layers["silver"], gold)
+    assert versions.current(spark, gold) == first and versions.others(spark, gold) == []
+    assert rows(pipeline.gold_row_counts(pipeline.read_gold(spark, gold))) == before
+    pipeline.build_gold(spark, layers["silver"], gold, strict=False)
+    assert versions.others(spark, gold) == [first]
+    assert pipeline.read_gold(spark, gold)["fact_ventas"].count() == reader.count() + 3
+    versions.discard(spark, first)
+    assert versions.others(spark, gold) == []
+
+
+def test_views_read_cells_and_not_tickets(spark, layers):
+    gold = pipeline.open_gold(spark, layers["gold"])
+    assert len(gold.years) > 1
+    for name, view in kpis.VIEWS.items():
+        plan = view(gold)._jdf.queryExecution().optimizedPlan().toString()
+        assert "monto_pagado" not in plan and "sk_venta" not in plan, name
+    summary = kpis.executive_summary(gold)._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in summary
+
+
+def test_views_over_cells_equal_views_over_tickets(spark, layers):
+    gold = pipeline.open_gold(spark, layers["gold"])
+    tickets = kpis.Gold(gold.fact_ventas, gold.dim_ruta, gold.dim_empresa, gold.dim_tiempo)
+    for name, view in kpis.VIEWS.items():
+        kinds = [[(f.name, f.dataType) for f in view(g).schema] for g in (gold, tickets)]
+        assert kinds[0] == kinds[1], name
+        assert rows(view(gold)) == rows(view(tickets)), name
+    assert rows(kpis.occupancy(gold.latest_year())) == rows(kpis.occupancy(tickets.latest_year()))
+
+
+def test_silver_report_takes_one_scan_of_the_tickets(spark, smoke):
+    watch = testbed.watched_silver(spark, smoke)
+    raw = testbed.raw_table(spark, smoke, "ventas_pasajes")
+    clean = testbed.clean_table(spark, smoke, "ventas_pasajes")
+    assert watch.count("raw", "ventas_pasajes") == raw.count()
+    assert watch.count("clean", "ventas_pasajes") == clean.count()
+    assert watch.count("clean", quality.INTEGRATED) == clean.count()
+    lost = {r.tabla: r.pct_perdido for r in quality.retention_report(spark, watch).collect()}
+    assert lost["ventas_pasajes"] == round(
+        100 * (raw.count() - clean.count()) / raw.count() + 1e-9, 1)
+
+
 def test_strict_failure_leaves_no_silver(spark, layers, source, tmp_path):
     bronze, silver = str(tmp_path / "bronze"), str(tmp_path / "silver")
     bad = dict(source)
