@@ -1,4 +1,5 @@
 import hashlib
+import math
 import re
 
 import pytest
@@ -48,25 +49,74 @@ def test_spans_and_digests(spark):
     assert spans[11] == "guess:12:23" and spans[12] == "" and spans[4] == ""
 
 
+def plain_spans(cost, value, at):
+    """(end, cost) of the segments that begin at ``at``, each kind as stated."""
+    near, double = S.near_keys(), math.log10(2)
+    lower = value.lower()
+    plain = lower.translate(cost.plain)
+    for end in range(at + 3, min(len(value), at + S.LONGEST_WORD) + 1):
+        upper = double if value[at:end] != lower[at:end] else 0
+        if rank := cost.ranks.get(lower[at:end]):
+            yield end, math.log10(rank) + upper
+        elif rank := cost.ranks.get(plain[at:end]):
+            yield end, math.log10(rank) + double + upper
+    if date := S.DATE.match(value, at):
+        yield date.end(1), math.log10(
+            120 if sum(c.isdigit() for c in date[1]) == 4 else 120 * 365 * 4)
+    if again := re.compile(r"(.{1,8}?)\1+", re.S).match(value, at):
+        yield again.end(), len(again[1]) + math.log10(len(again[0]) // len(again[1]))
+    end = at + 1
+    while end < len(value) and lower[end] in near.get(lower[end - 1], ()):
+        end += 1
+    if end - at >= 3:
+        yield end, math.log10(len(near)) + 0.35 * (end - at - 1)
+
+
+VALUES = ["", "x", "password1", "P@ss12/05/1998", "aaaa#qwerty", "x9#kQ!", "zxcvTheend", "abcabc77",
+          "1999-12-31", "qwqwqwqwqw", "aXaXaXbbb", "ÉÉtété🙂🙂🙂", "İstanbul"]
+
+
+@pytest.mark.parametrize("value", VALUES)
+def test_segments_are_those_of_every_place(cost, value):
+    want = sorted((at, e, c) for at in range(len(value)) for e, c in plain_spans(cost, value, at))
+    got = cost.segments(value)
+    if len(value.lower()) == len(value):
+        assert [g[:2] for g in got] == [w[:2] for w in want]
+        assert [g[2] for g in got] == pytest.approx([w[2] for w in want])
+
+
 def test_cheapest_segmentation_against_all_segmentations(cost):
     def slow(value):
-        import math
-        cost._lower = value.lower()
-        cost._plain = cost._lower.translate(cost.plain)
         joint = math.log10(2)
+        spans = cost.segments(value)
 
         def best(at, brute):
             if at == len(value):
                 return 0.0
             options = [1 + best(at + 1, True) + (0 if brute else joint)]
-            options += [joint + c + best(e, False) for e, c in list(cost.spans(value, at))]
+            options += [joint + c + best(e, False) for s, e, c in spans if s == at]
             return min(options)
         return max(0.0, best(0, False) - joint)
-    for value in ["password1", "P@ss12/05/1998", "aaaa#qwerty", "x9#kQ!", "zxcvTheend", "abcabc77"]:
+    for value in VALUES:
         assert cost(value) == pytest.approx(slow(value))
     assert cost("password") < cost("passwordzebra") < cost("x9#kQ!vz2Lp#w")
 
 
+def test_cost_of_long_values_is_linear(cost):
+    """With a cost at each place of what follows, these would take hours."""
+    for unit in ("qw", "z", "abcdefgh", "x9#kQ!vz2Lp#w", "password"):
+        assert cost((unit * 1_000_000)[:1_000_000]) >= 0
+
+
+def test_values_inside_base_spans_are_judged(spark):
+    text = "password = x9kQvz2Lp-w and token: password"
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    row = S.counted(S.scan(df)).first()
+    assert row.spans.split(",") == ["assign:0:22", "guess:11:22", "assign:27:42"]
+    assert [v.split(":")[:2] for v in row.guess_costs.split(",")] == [["11", "22"], ["34", "42"]]
+    assert (row.n_assign, row.n_guess) == (2, 1)
+
+
 def test_redaction(spark):
     df = spark.createDataFrame([(1, 'a token = "abcdefgh1" b', 99), (2, None, None), (3, "ok", 2),
                                 (4, "", 0)], "doc_id long, text string, n_chars long")
