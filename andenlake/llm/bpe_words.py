@@ -25,7 +25,9 @@ class ChunkTable(dict):
     """chunk -> ids as little-endian uint32 bytes, filled on demand.
 
     A chunk is normalised (NFC, lower case) and cut into words as the tokenizer
-    does it; each distinct word is run through the merges once."""
+    does it; each distinct word is run through the merges once. Python's character tables and
+    the tokenizer's differ in age, so a chunk that is not in NFC or holds a character on which
+    they disagree goes through the tokenizer itself."""
 
     def __init__(self, path: str, limit: int = CACHE):
         import regex
@@ -36,6 +38,8 @@ class ChunkTable(dict):
             r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+").findall
         self.letters = byte_letters()
         self.words: dict[str, bytes] = {}
+        self.alike: set[str] = set()
+        self.apart: set[str] = set()
         self.limit = limit
 
     def word(self, word: str) -> bytes:
@@ -49,10 +53,29 @@ class ChunkTable(dict):
             self.words[word] = ids
         return ids
 
+    def cut(self, chunk: str) -> bytes:
+        """Ids of a chunk in NFC by this table's own cuts."""
+        lower = chunk.lower() if "Σ" not in chunk else "".join(c.lower() for c in chunk)
+        return b"".join(map(self.word, self.find(lower)))
+
+    def by_library(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def agrees(self, c: str) -> bool:
+        """Whether both sides cut alike around a character: alone, beside a letter, a digit and
+        a sign, and before and after marks that would change places with a mark."""
+        if c in self.alike or c in self.apart:
+            return c in self.alike
+        around = [c, f"a{c}a", f"1{c}1", f"-{c}-", f"a{c}\u0334", f"a\u0345{c}"]
+        own = (self.cut(unicodedata.normalize("NFC", x)) for x in around)
+        same = b"".join(own) == self.by_library(" ".join(around))
+        (self.alike if same else self.apart).add(c)
+        return same
+
     def __missing__(self, chunk: str) -> bytes:
-        plain = chunk if chunk.isascii() else unicodedata.normalize("NFC", chunk)
-        lower = plain.lower() if "Σ" not in plain else "".join(c.lower() for c in plain)
-        ids = b"".join(map(self.word, self.find(lower)))
+        own = chunk.isascii() or unicodedata.is_normalized("NFC", chunk) and (
+            self.alike.issuperset(chunk) or all(map(self.agrees, chunk)))
+        ids = self.cut(chunk) if own else self.by_library(chunk)
         if len(self) > self.limit:
             self.clear()
         self[chunk] = ids
@@ -68,6 +91,5 @@ class ChunkTable(dict):
     def encode(self, text: str) -> bytes:
         """All ids of a text, as the tokenizer gives them without added special tokens."""
         if self.odd(text):
-            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-            return np.array(ids, "<u4").tobytes()
+            return self.by_library(text)
         return b"".join(map(self.__getitem__, text.split()))

@@ -49,6 +49,21 @@ def test_chunks_add_up_to_the_text(library, text):
     assert list(memoryview(table.encode(text)).cast("I")) == ids
 
 
+def test_code_points_on_which_character_tables_differ(library):
+    """Every code point up to U+33FF and in the blocks that grew of late, alone and in words."""
+    table = ChunkTable(tokenizer_path())
+    points = [*range(0x80, 0x3400), *range(0xA000, 0xAC00), *range(0xD7A4, 0xD800),
+              *range(0xF900, 0x10000), *range(0x10000, 0x12000), *range(0x16100, 0x17000),
+              *range(0x1D100, 0x1FC00), 0x2EBF0, 0x323AF, 0x323B0, 0xE0001, 0x10FFFF]
+    for at in range(0, len(points), 256):
+        part = list(map(chr, points[at:at + 256]))
+        for text in (" ".join(part), " ".join(f"a{c}1" for c in part), "x" + "".join(part)):
+            ids = library.encode(text, add_special_tokens=False).ids
+            assert list(memoryview(table.encode(text)).cast("I")) == ids, hex(points[at])
+    pair = chr(0x11935) + chr(0x11930)
+    assert list(memoryview(table.encode(pair)).cast("I")) == library.encode(pair).ids[:]
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert bpe.digests(df).collect() == [] and bpe.encode(df).collect() == []
