@@ -6,7 +6,7 @@ import datetime as dt
 import re
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -96,24 +96,93 @@ def newest_rows(df: DataFrame, date_column: str = DATE_COLUMN) -> DataFrame:
 
 
 BAD_ROW = "_fila_mala"
-
-
-def _csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+CSV_OPTIONS = {"quote": '"', "escape": '"', "multiLine": True}
+#: Stands for a missing value where an empty text has to be told from it.
+MISSING = "\0missing\0"
+
+
+def csv_records(spark: SparkSession, path: str) -> DataFrame:
+    """archivo, registro (from 1 in each file), texto: the records of CSV files, line breaks
+    inside quotes included, with a file read in as many pieces as it has splits.
+
+    Quotes stand around values and are doubled inside them, so a line begins a record if an
+    even number of quotes comes before it. That number is counted by split, summed over the
+    splits before (one row for each split), and by line inside a split. Only the last record
+    of a split can reach into the next; those and their rests alone meet again."""
+    lines = (spark.read.option("lineSep", "\n").text(path).select(
+        F.col("_metadata.file_path").alias("archivo"),
+        F.col("_metadata.file_block_start").alias("trozo"),
+        F.monotonically_increasing_id().alias("orden"), "value",
+        (F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))).alias("comillas")))
+    split = Window.partitionBy("archivo", "trozo").orderBy("orden")
+    before = F.sum("comillas").over(split.rowsBetween(Window.unboundedPreceding, -1))
+    lines = lines.withColumn("impar", F.coalesce(before % 2, F.lit(0)))
+
+    splits = lines.groupBy("archivo", "trozo").agg(
+        F.sum("comillas").alias("comillas"), F.count_if(F.col("impar") == 0).alias("pares"),
+        F.count_if(F.col("impar") == 1).alias("impares"))
+    earlier = Window.partitionBy("archivo").orderBy("trozo").rowsBetween(
+        Window.unboundedPreceding, -1)
+    splits = splits.withColumn(
+        "entra", F.coalesce(F.sum("comillas").over(earlier) % 2, F.lit(0))
+    ).withColumn("inicios", F.when(F.col("entra") == 0, F.col("pares")).otherwise(F.col("impares"))
+                 ).select("archivo", "trozo", "entra", "inicios", F.coalesce(
+                     F.sum("inicios").over(earlier), F.lit(0)).alias("previos"))
+
+    starts = (F.col("impar") == F.col("entra")).cast("long")
+    placed = lines.join(splits, ["archivo", "trozo"]).select(
+        "archivo", "trozo", "orden", "value", "previos", "inicios",
+        (F.col("previos") + F.sum(starts).over(split)).alias("registro"))
+    parts = placed.groupBy("archivo", "trozo", "registro").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("orden", "value"))),
+                                 lambda x: x.value), "\n").alias("texto"),
+        F.any_value("previos").alias("previos"), F.any_value("inicios").alias("inicios"))
+    first = F.col("registro") == F.col("previos")  # the rest of a record begun before
+    last = F.col("registro") == F.col("previos") + F.col("inicios")
+    inner = parts.filter(~first & ~last).select("archivo", "registro", "texto")
+    edges = parts.filter(first | last).groupBy("archivo", "registro").agg(F.array_join(F.transform(
+        F.array_sort(F.collect_list(F.struct("trozo", "texto"))), lambda x: x.texto), "\n")
+        .alias("texto"))
+    return inner.unionByName(edges).withColumn("texto", F.regexp_replace("texto", r"\r\z", ""))
+
+
+def _torn(text: str) -> Column:
+    """Whether quotes stand elsewhere than around values in a record of several lines, or a
+    quote is never closed: such a record may be two."""
+    quotes = F.length(text) - F.length(F.replace(text, F.lit('"'), F.lit("")))
+    marked = F.regexp_replace(F.regexp_replace(text, '"[^"]*+"', "\x01"), "\x01+", "\x01")
+    return (quotes % 2 == 1) | F.contains(text, F.lit("\n")) & marked.rlike("[^,]\x01|\x01[^,]")
+
+
+def _csv(spark: SparkSession, path: str, schema: T.StructType,
+         keep_empty: bool = False) -> DataFrame:
     """Declared columns, found by their names in the header, and the raw text of
     rows that do not fit. Quotes are doubled inside quotes; a quoted value may
-    hold line breaks; a byte-order mark is accepted."""
-    reader = (spark.read.option("header", True).option("encoding", "UTF-8")
-              .option("quote", '"').option("escape", '"').option("multiLine", True))
-    header = reader.csv(path).columns
+    hold line breaks; a byte-order mark is accepted. Empty lines are no rows. A value of
+    two quotes is missing, or with ``keep_empty`` an empty text."""
+    header = spark.read.option("header", True).options(**CSV_OPTIONS).csv(path).columns
     declared = {f.name: f for f in schema.fields}
     if missing := [name for name in declared if name not in header]:
         raise ValueError(f"{path} has no column {', '.join(missing)}")
     given = T.StructType([declared.get(name, T.StructField(name, T.StringType()))
                           for name in header]).add(BAD_ROW, T.StringType())
-    return (reader.schema(given).option("mode", "PERMISSIVE")
-            .option("columnPruning", False)  # else a bad value is not seen unless selected
-            .option("columnNameOfCorruptRecord", BAD_ROW).csv(path)
-            .select(*declared, BAD_ROW))
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in given)
+    records = csv_records(spark, path).filter((F.col("registro") > 1) & (F.col("texto") != ""))
+    row = F.from_csv("texto", fields, {
+        **{k: str(v) for k, v in CSV_OPTIONS.items()}, "mode": "PERMISSIVE",
+        "columnNameOfCorruptRecord": BAD_ROW, "nullValue": MISSING if keep_empty else ""})
+    return records.select("texto", row.alias("fila")).select(
+        *[F.col(f"fila.{name}") for name in declared],
+        F.when(_torn("texto"), F.col("texto")).otherwise(F.col(f"fila.{BAD_ROW}")).alias(BAD_ROW))
+
+
+def write_csv(df: DataFrame, folder: str) -> str:
+    """Files with a header that ``read_csv`` with ``keep_empty`` reads back as they were:
+    blanks at either end of a value stay, and an empty text is not a missing one."""
+    df.write.mode("overwrite").options(
+        header=True, quote='"', escape='"', ignoreLeadingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False).csv(folder)
+    return folder
 
 
 def bad_csv_rows(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -122,10 +191,11 @@ def bad_csv_rows(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
     return _csv(spark, path, schema).filter(F.col(BAD_ROW).isNotNull())
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: T.StructType,
+             keep_empty: bool = False) -> DataFrame:
     """CSV with a header and declared types. A row that does not fit fails the read;
-    ``bad_csv_rows`` shows which."""
-    rows = _csv(spark, path, schema)
+    ``bad_csv_rows`` shows which. ``keep_empty`` is for files by ``write_csv``."""
+    rows = _csv(spark, path, schema, keep_empty)
     broken = F.raise_error(F.concat(F.lit("bad row in a CSV file: "), BAD_ROW))
     first = schema.fields[0]
     checked = F.when(F.col(BAD_ROW).isNotNull(), broken.cast(first.dataType)).otherwise(

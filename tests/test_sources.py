@@ -83,6 +83,44 @@ def test_csv_quotes_line_breaks_and_columns_by_name(spark, tmp_path):
         snapshots.read_csv(spark, str(tmp_path / "t.csv"), schemas.BRONZE["rutas"])
 
 
+TEXTS = [None, "", " a ", 'say ""hi""', '"', '""', "a,b", "one\ntwo\n\nthree", "win\r\ndows", "\n",
+         "long\n" * 400, "x" * 3000, '"\n"' * 50, "áé🙂\nñ", "end\r", "-"]
+
+
+def test_csv_with_line_breaks_is_read_in_pieces(spark, tmp_path):
+    """Splits far smaller than a record give the rows that were written."""
+    rows = [(i, TEXTS[i % len(TEXTS)], f"t{i}") for i in range(400)]
+    schema = "id long, texto string, otra string"
+    df = spark.createDataFrame(rows, schema).coalesce(2)
+    path = snapshots.write_csv(df, str(tmp_path / "t"))
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes",
+                                          "spark.sql.files.openCostInBytes")}
+    try:
+        for size in ("700b", "64m"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            spark.conf.set("spark.sql.files.openCostInBytes", "1b")
+            if size == "700b":
+                assert spark.read.text(path).rdd.getNumPartitions() > 50
+            got = snapshots.read_csv(spark, path, df.schema, keep_empty=True).collect()
+            assert sorted(map(tuple, got)) == rows
+            assert snapshots.bad_csv_rows(spark, path, df.schema).count() == 0
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_quotes_out_of_place_do_not_swallow_rows(spark, tmp_path):
+    """A quote inside a plain value may hide where rows end: the read fails and says so."""
+    for body in ('1,x"y,z\n2,x,y\n3,x"y,z\n', '1,"x,y\n2,x,y\n'):
+        write(tmp_path / "t.csv", "id,de,a\n" + body)
+        path = str(tmp_path / "t.csv")
+        assert snapshots.bad_csv_rows(spark, path, CITIES).count() == 1
+        with pytest.raises(Exception, match="bad row in a CSV file"):
+            snapshots.read_csv(spark, path, CITIES).collect()
+    write(tmp_path / "t.csv", "id,de,a\n")
+    assert snapshots.read_csv(spark, str(tmp_path / "t.csv"), CITIES).collect() == []
+
+
 def test_bad_csv_rows_are_reported_and_fail_the_read(spark, tmp_path):
     write(tmp_path / "t.csv", "id,de,a\n1,x,y\nuno,x,y\n3,x,y,z\n")
     path = str(tmp_path / "t.csv")
