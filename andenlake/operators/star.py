@@ -26,6 +26,10 @@ DEFAULT_TIME_KEY = 20220101
 DEFAULT_KEY = 1
 DEFAULT_SEATS = 44
 
+# Places of decimal(8,2) / int and of decimal(10,4) / int in the gold database.
+ROUTE_FARE_PLACES = 13
+TICKET_FARE_PLACES = 15
+
 
 def dim_tiempo(ventas: DataFrame) -> DataFrame:
     """One row per date of sale or travel. Both dates come from one scan, and
@@ -49,7 +53,8 @@ def dim_ruta(rutas: DataFrame, geo: DataFrame, number: Numbering = dense_numbers
     rows = ends.select(F.col("id_ruta").alias("id_ruta_origen"), "ciudad_origen",
                        "departamento_origen", "ciudad_destino", "departamento_destino",
                        "distancia_km", "duracion_horas", "tipo_corredor", "tarifa_base",
-                       m.ratio(F.col("tarifa_base"), F.col("distancia_km")).alias("ingreso_por_km"))
+                       m.decimal_ratio(F.col("tarifa_base"), F.col("distancia_km"), ROUTE_FARE_PLACES)
+                       .alias("ingreso_por_km"))
     return conform(number(rows, "sk_ruta", rows.columns), GOLD["dim_ruta"])
 
 
@@ -128,7 +133,8 @@ def fact_rows(tickets: DataFrame, dims: dict[str, DataFrame],
         columns |= {"sk_ruta": F.coalesce("sk_ruta", F.lit(DEFAULT_KEY)),
                     "tarifa_base": F.coalesce("__fare", F.lit(0)),
                     "distancia_km": km,
-                    "ingreso_por_km": m.ratio(F.col("monto_pagado"), km)}
+                    "ingreso_por_km": m.decimal_ratio(F.col("monto_pagado"), km,
+                                                      TICKET_FARE_PLACES)}
     for name, fk in (("empresa", "id_empresa"), ("pasajero", "id_pasajero")):
         if f"dim_{name}" in dims:
             df = lookup(df, dims[f"dim_{name}"], fk, f"{fk}_origen", f"sk_{name}",

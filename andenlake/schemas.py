@@ -81,7 +81,7 @@ GOLD = {
                         "departamento_origen string, ciudad_destino string, "
                         "departamento_destino string, distancia_km int, "
                         "duracion_horas decimal(4,1), tipo_corredor string, "
-                        "tarifa_base decimal(8,2), ingreso_por_km double"),
+                        "tarifa_base decimal(8,2), ingreso_por_km decimal(19,13)"),
     "dim_empresa": _schema("sk_empresa bigint, id_empresa_origen bigint, nombre_empresa string, "
                            "tipo_empresa string, estado_empresa string, "
                            "capacidad_flota_total int"),
@@ -96,7 +96,7 @@ GOLD = {
                            "id_venta_origen bigint, monto_pagado decimal(18,2), "
                            "tarifa_base decimal(8,2), descuento_aplicado decimal(5,2), "
                            "numero_asiento int, capacidad_unidad int, distancia_km int, "
-                           "es_cancelado int, ingreso_por_km double, "
+                           "es_cancelado int, ingreso_por_km decimal(31,15), "
                            "cepal_volumen_pasajeros_km decimal(18,3), "
                            "cepal_modo_transporte string"),
 }

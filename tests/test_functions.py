@@ -1,4 +1,6 @@
 import datetime as dt
+import random
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -118,3 +120,25 @@ def test_reference_label(spark):
     assert column(spark, [2.0, 1.0, None], "double",
                   lambda c: m.reference_label(c, F.lit(1.0))) == [
         "Supera referencia", "Debajo referencia", "Debajo referencia"]
+
+
+def test_decimal_ratio_cuts_digits(spark):
+    """Against whole-number division, at the largest divisors too."""
+    rng = random.Random(1)
+    pairs = [(2, 3), (-2, 3), (100, 0), (1, 7), (1, None), (None, 7), (99, 100)]
+    pairs += [(rng.randint(1, 10**9), rng.choice([3, 7, 997, 2**31 - 1, rng.randint(1, 2**31 - 1)]))
+              for _ in range(300)]
+    pairs += [(k * (2**31 - 1) - 1, 2**31 - 1) for k in (1, 5, 40)]
+    df = spark.createDataFrame([(i, None if c is None else Decimal(c) / 100, d)
+                                for i, (c, d) in enumerate(pairs)],
+                               "i int, amount decimal(18,2), km int")
+    for places in (13, 15):
+        got = df.select("i", m.decimal_ratio(F.col("amount"), F.col("km"), places)).orderBy("i")
+        for (c, d), (_, q) in zip(pairs, got.collect()):
+            want = None
+            if c is not None and d:
+                whole = abs(c) * 10 ** (places - 2) // d
+                want = Decimal(whole if c > 0 else -whole).scaleb(-places)
+            assert q == want
+    huge = spark.sql("SELECT cast('9999999999999999.99' AS decimal(18,2)) AS amount, 3 AS km")
+    assert huge.select(m.decimal_ratio(F.col("amount"), F.col("km"), 15)).first()[0] is None

@@ -305,7 +305,7 @@ def test_dimension_defaults(small_star):
     first = small_star["dim_ruta"].orderBy("sk_ruta").first()
     assert (first.sk_ruta, first.id_ruta_origen, first.ciudad_origen, first.ciudad_destino) == (
         1, 7, "Tarija", "Desconocido")
-    assert first.ingreso_por_km == 0.4
+    assert first.ingreso_por_km == Decimal("0.4")
     passenger = small_star["dim_pasajero"].first()
     assert (passenger.ciudad_origen, passenger.nacionalidad) == ("Desconocido", "Boliviana")
     assert small_star["dim_empresa"].first().capacidad_flota_total == 12
@@ -323,7 +323,7 @@ def test_fact_defaults(spark, small_star):
     assert (hit.sk_venta, miss.sk_venta) == (1, 2)
     assert (hit.sk_tiempo, hit.sk_ruta, hit.sk_canal, hit.sk_unidad) == (20210305, 1, 4, 2)
     assert (hit.distancia_km, hit.tarifa_base, hit.capacidad_unidad) == (100, 40, 40)
-    assert hit.ingreso_por_km == 0.5 and hit.cepal_modo_transporte == "Sin dato"
+    assert hit.ingreso_por_km == Decimal("0.5") and hit.cepal_modo_transporte == "Sin dato"
     assert (miss.sk_tiempo, miss.sk_ruta, miss.sk_empresa, miss.sk_pasajero) == (20220101, 1, 1, 1)
     assert (miss.sk_unidad, miss.sk_canal, miss.numero_asiento, miss.es_cancelado) == (1, 1, 1, 1)
     assert (miss.distancia_km, miss.tarifa_base, miss.ingreso_por_km) == (0, 0, None)
