@@ -54,5 +54,28 @@ def test_rules_that_reject_more_per_cost_come_first(spark):
     assert worth == sorted(worth, reverse=True) and len(worth) == len(Q.RULES)
 
 
+def test_the_order_does_not_depend_on_partitions_or_repeated_rows(spark):
+    rows = list(enumerate(sample()))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    many = spark.createDataFrame(rows + [rows[9]] * 500, "doc_id long, text string")
+
+    def figures(x):
+        return [(rule.name, share, cost) for rule, share, cost in Q.order_rules(x, Q.RULES, 10**6)]
+
+    assert figures(df) == figures(df.repartition(7)) == figures(many)
+    cost = {name: c for name, _, c in figures(df)}
+    assert cost["symbols"] == cost["word_length"] == 1 < cost["few_letters"] < cost["capitals"]
+
+
+def test_a_cheap_rule_goes_before_an_equal_dear_one(spark):
+    df = spark.createDataFrame([(k, f"w{k} x # " * 1 + " ".join(f"q{k}z{j}" for j in range(60)))
+                                for k in range(50)], "doc_id long, text string")
+    dear = Q.Rule("dear", lambda: Q.F.regexp_count("text", Q.F.lit("#")) > 0, 1)
+    cheap = Q.Rule("cheap", lambda: Q.F.col("n_symbols") > 0)
+    never = Q.Rule("never", lambda: Q.F.col("n_words") < 0)
+    assert [r.name for r, *_ in Q.order_rules(df, [never, dear, cheap])] == [
+        "cheap", "dear", "never"]
+
+
 def test_empty_table(spark):
     assert Q.judge(spark.createDataFrame([], "doc_id long, text string")).collect() == []
