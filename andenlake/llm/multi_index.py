@@ -39,6 +39,7 @@ NEAREST = 20
 #: Entries and queries of one block.
 ENTRIES = 4096
 QUERIES = 2048
+LOWEST = -np.finfo("f8").max
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -101,6 +102,33 @@ def visit(first: np.ndarray, second: np.ndarray, held: np.ndarray, enough: float
     return taken
 
 
+def deal(held: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """First shard of each cell and how many it has. Small cells share one of about ``size``
+    entries, in their order; a cell of more entries has shards of its own."""
+    first, parts = np.zeros(held.size, "i8"), np.ones(held.size, "i8")
+    shard = fill = 0
+    for cell, n in enumerate(held.ravel().astype("i8").tolist()):
+        if fill and fill + n > size:
+            shard, fill = shard + 1, 0
+        first[cell], parts[cell] = shard, max(1, -(-n // size))
+        fill += n
+        if n > size:
+            shard, fill = shard + parts[cell], 0
+    return first, parts
+
+
+def products(query: np.ndarray, taken: np.ndarray, entry: np.ndarray,
+             cell: np.ndarray) -> np.ndarray:
+    """Inner products of queries with the entries of the cells they visit, minus infinity
+    elsewhere. ``taken``: visited or not, by query and cell; ``cell`` ascends."""
+    value = np.full((len(query), len(entry)), -np.inf)
+    edges = np.flatnonzero(np.diff(cell, prepend=-1, append=-1))
+    for a, b in zip(edges[:-1], edges[1:]):
+        who = np.flatnonzero(taken[:, cell[a]])
+        value[who, a:b] = query[who] @ entry[a:b].T
+    return value
+
+
 def search(vectors: DataFrame, queries: DataFrame, nearest: int = NEAREST,
            share: float = SHARE, centroids: int = CENTROIDS, sample: int = SAMPLE) -> DataFrame:
     """query_id, rank, vec_id, score: each query's ``nearest`` by inner product among the
@@ -126,15 +154,14 @@ def search(vectors: DataFrame, queries: DataFrame, nearest: int = NEAREST,
             yield frame.assign(cell=nearest_centre(m[:, :half], one) * len(two)
                                + nearest_centre(m[:, half:], two))
 
-    shards = -(-total // ENTRIES)
     index = stored(distinct.filter(F.size("v") == fitted.shape[1])
                    .mapInPandas(cells, "v array<double>, ids array<long>, cell long")
-                   .withColumn("shard", F.pmod(F.xxhash64("v"), F.lit(shards)).cast("int")),
-                   "index")
+                   .withColumn("draw", F.pmod(F.xxhash64("v"), F.lit(1 << 30))), "index")
     held = np.zeros(len(one) * len(two))
     for cell, n in index.groupBy("cell").count().collect():  # at most centroids squared rows
         held[cell] = n
     held = held.reshape(len(one), len(two))
+    first, parts = deal(held, ENTRIES)
 
     asked = stored(usable(queries).filter(F.size("v") == fitted.shape[1])
                    .groupBy("vec_id", "v").agg(F.lit(1).alias("n")).drop("n"), "queries")
@@ -146,28 +173,40 @@ def search(vectors: DataFrame, queries: DataFrame, nearest: int = NEAREST,
         for frame in frames:
             m = np.stack(frame["v"].to_numpy())
             near = zip(m[:, :half] @ one.T, m[:, half:] @ two.T)
-            yield frame.assign(visited=[np.packbits(visit(x, y, held, enough)).tobytes()
-                                        for x, y in near])
+            taken = [visit(x, y, held, enough).ravel() for x, y in near]
+            yield frame.assign(visited=[np.packbits(t).tobytes() for t in taken],
+                               shards=[shards_of(np.flatnonzero(t & (held.ravel() > 0)))
+                                       for t in taken])
+
+    def shards_of(cell):
+        return sorted({s for a, n in zip(first[cell].tolist(), parts[cell].tolist())
+                       for s in range(a, a + n)})
+
+    def place(frames):
+        for frame in frames:
+            cell, draw = (frame[c].to_numpy() for c in ("cell", "draw"))
+            yield frame.assign(shard=first[cell] + draw % parts[cell])[
+                ["v", "ids", "cell", "shard"]]
 
     block = F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks)).cast("int").alias("block")
     sent = (stored(asked.repartition(blocks * 4, "vec_id").mapInPandas(
-        route, "vec_id long, v array<double>, visited binary"), "routes")
-        .select("vec_id", "v", "visited", block,
-                F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard")))
-    dealt = index.select("v", "ids", "cell", "shard", F.explode(
-        F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
+        route, "vec_id long, v array<double>, visited binary, shards array<long>"), "routes")
+        .select("vec_id", "v", "visited", block, F.explode("shards").alias("shard")))
+    dealt = index.mapInPandas(place, "v array<double>, ids array<long>, cell long, shard long") \
+        .withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
 
     def score(entry, query):
         out = {k: [] for k in ("query_id", "vec_id", "score")}
         if len(entry) and len(query):
+            entry = entry.sort_values("cell", kind="stable", ignore_index=True)
             e, q = (np.stack(f["v"].to_numpy()) for f in (entry, query))
-            seen = np.unpackbits(np.stack([np.frombuffer(b, "u1") for b in query["visited"]]),
-                                 axis=1)[:, entry["cell"].to_numpy()].astype(bool)
-            value = np.where(seen, q @ e.T, -np.inf)
+            taken = np.unpackbits(np.stack([np.frombuffer(b, "u1") for b in query["visited"]]),
+                                  axis=1).astype(bool)
+            value = products(q, taken, e, entry["cell"].to_numpy())
             keep = min(nearest + 1, value.shape[1])
-            floor = np.partition(value, -keep, axis=1)[:, -keep] - 1e-9
+            floor = np.maximum(np.partition(value, -keep, axis=1)[:, -keep] - 1e-9, LOWEST)
             for k, me in enumerate(query["vec_id"]):
-                at = np.flatnonzero(seen[k] & (value[k] >= floor[k]))
+                at = np.flatnonzero(value[k] >= floor[k])
                 exact = (e[at] * q[k]).sum(1)
                 pairs = sorted((-s, i) for s, x in zip(exact, at) for i in entry["ids"][x]
                                if i != me)[:nearest]

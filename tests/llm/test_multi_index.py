@@ -69,6 +69,34 @@ def test_heap_visits_cells_in_order():
         assert (taken.ravel() == want).all()
 
 
+def test_cells_are_dealt_whole_unless_they_fill_a_shard():
+    first, parts = multi_index.deal(np.array([[3, 0, 4], [25, 2, 9], [1, 10, 0]]), 10)
+    assert first.tolist() == [0, 0, 0, 1, 4, 5, 5, 6, 6] and parts.tolist() == [
+        1, 1, 1, 3, 1, 1, 1, 1, 1]
+
+
+def test_only_visited_cells_are_multiplied():
+    rng = np.random.default_rng(6)
+    e, q = rng.normal(size=(50, 4)), rng.normal(size=(7, 4))
+    cell, taken = np.sort(rng.integers(0, 9, 50)), rng.random((7, 9)) < 0.5
+    value, seen = multi_index.products(q, taken, e, cell), taken[:, cell]
+    assert np.allclose(value[seen], (q @ e.T)[seen]) and (value[~seen] == -np.inf).all()
+
+
+def test_a_cell_with_most_entries_is_split(spark, monkeypatch):
+    monkeypatch.setattr(multi_index, "ENTRIES", 16)
+    rng = np.random.default_rng(7)
+    rows = [(i, (np.ones(6) + rng.normal(size=6) / 50 if i % 3 else rng.normal(size=6)).tolist())
+            for i in range(240)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    ask = df.filter("vec_id % 20 = 0")
+    got = multi_index.search(df, ask, share=1.1, centroids=4).orderBy("query_id", "rank")
+    found = {}
+    for r in got.collect():
+        found.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    assert found == slow(rows, [x for x in rows if x[0] % 20 == 0])
+
+
 def test_few_or_no_vectors(spark):
     schema = "vec_id long, embedding array<float>"
     assert multi_index.search(*[spark.createDataFrame([], schema)] * 2).collect() == []
