@@ -152,9 +152,10 @@ class Family:
 
 def surroundings(docs: DataFrame, chosen: DataFrame, length: int = LENGTH) -> DataFrame:
     """key, low, region and the place of the region's first byte, for chosen suffixes.
-    The region holds all windows of the suffix."""
+    The region holds all windows of the suffix. Rows equal in id and text have the same
+    suffixes: those are gathered once, and each row brings its own regions."""
     marks = chosen.groupBy("doc_id", "body").agg(
-        F.collect_list(F.struct("key", "at", "low", "n")).alias("marks"))
+        F.collect_set(F.struct("key", "at", "low", "n")).alias("marks"))
     held = _joined(docs, marks)
 
     def cut(rows):

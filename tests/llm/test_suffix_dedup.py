@@ -52,6 +52,18 @@ def test_against_all_windows(spark):
     check(spark, texts, [*range(len(texts) - 3), None, 0, 0], 400)
 
 
+def test_equal_rows_without_id_bring_their_regions_once_each(spark):
+    text = " ".join(random.Random(8).choices("abcdefgh", k=500))
+    for n in (10, 1000):
+        df = spark.createDataFrame([(None, text)] * n + [(1, "other|" + text[100:]), (2, "x")],
+                                   "doc_id long, text string")
+        every = suffix_dedup.suffix_array(df)
+        single = every.filter("key is not null").count()
+        assert suffix_dedup.surroundings(df, every.filter("key is not null")).count() == single
+    got = Counter((r.doc_id, r.n_removed) for r in suffix_dedup.remove(df).collect())
+    assert got == {(None, len(text)): 1000, (1, len(text) - 100): 1, (2, 0): 1}
+
+
 def test_large_groups_are_cut_into_narrower_ones(spark, monkeypatch):
     monkeypatch.setattr(suffix_dedup.repeated, "__defaults__", (400, 3))
     texts = sample(400)
