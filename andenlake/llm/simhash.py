@@ -31,6 +31,8 @@ SEED = 42
 BUCKET = 2048
 #: Variants expanded at once inside a task.
 EXPAND = 2_000_000
+#: Parts of a bucket whose forests are kept before they are made one.
+PARTS = 64
 
 
 def fingerprint(utf8: bytes, words: int = SHINGLE_WORDS) -> int:
@@ -77,12 +79,14 @@ def leading_bits(fps: DataFrame, bits: int, flips: int) -> DataFrame:
             .select(head.bitwiseXOR(F.col("x.m")).alias("bucket"), "fp", "x.left"))
 
 
-def bucket_links(fp: np.ndarray, left: np.ndarray, bit: int, out: list) -> None:
-    """Links among fingerprints whose variants agree above ``bit``.
+def bucket_links(fp: np.ndarray, left: np.ndarray, bit: int, radius: int, out: list) -> None:
+    """Adds to ``out`` what connects fingerprints whose variants agree above ``bit``.
 
     ``fp`` holds the original words, ``left`` their remaining flips at bits below
     ``bit``. Large sets are first divided by the value of the next bit: keeping it
-    is free, flipping it takes one of the flips left."""
+    is free, flipping it takes one of the flips left. Each part is verified and reduced to
+    its forest at once, and so are many parts together, so a dense ball of fingerprints
+    never has its pairs in memory."""
     if len(fp) < 2:
         return
     per = 1 + bit + bit * (bit - 1) // 2
@@ -90,7 +94,7 @@ def bucket_links(fp: np.ndarray, left: np.ndarray, bit: int, out: list) -> None:
         one = (fp >> np.uint64(bit - 1)) & np.uint64(1) == 1
         for side in (one, ~one):
             take = side | (left > 0)
-            bucket_links(fp[take], left[take] - ~side[take], bit - 1, out)
+            bucket_links(fp[take], left[take] - ~side[take], bit - 1, radius, out)
         return
     low = np.uint64((1 << bit) - 1)
     owners, variants = [], []
@@ -104,8 +108,11 @@ def bucket_links(fp: np.ndarray, left: np.ndarray, bit: int, out: list) -> None:
     order = np.argsort(variant, kind="stable")
     variant, owner = variant[order], owner[order]
     same = np.flatnonzero(variant[1:] == variant[:-1])
-    pairs = np.unique(np.stack([owner[same], owner[same + 1]], 1), axis=0)
-    out.append(np.stack([fp[pairs[:, 0]], fp[pairs[:, 1]]], 1))
+    pairs = fp[np.unique(np.stack([owner[same], owner[same + 1]], 1), axis=0)]
+    apart = np.unpackbits((pairs[:, 0] ^ pairs[:, 1]).view("u1").reshape(-1, 8), axis=1).sum(1)
+    out.append(forest(pairs[apart <= radius]))
+    if len(out) == PARTS:
+        out[:] = [forest(np.concatenate(out))]
 
 
 def _masks(bits: int, flips: int) -> np.ndarray:
@@ -152,11 +159,8 @@ def links(fps: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) -> DataFra
         for frame in frames:
             found: list = []
             fp = frame["fp"].to_numpy().view("u8")
-            bucket_links(fp, frame["left"].to_numpy().astype("i8"), 64 - bits, found)
-            pairs = np.concatenate(found) if found else np.empty((0, 2), "u8")
-            apart = np.unpackbits((pairs[:, 0] ^ pairs[:, 1]).view("u1").reshape(-1, 8),
-                                  axis=1).sum(1)
-            tree = forest(pairs[apart <= radius])
+            bucket_links(fp, frame["left"].to_numpy().astype("i8"), 64 - bits, radius, found)
+            tree = forest(np.concatenate(found) if found else np.empty((0, 2), "u8"))
             yield frame.iloc[:0].assign(a=[], b=[])[["a", "b"]] if not len(tree) else _frame(tree)
 
     def per_bucket(frame):

@@ -79,9 +79,11 @@ def test_split_buckets_give_the_same_links(monkeypatch):
     fp = np.unique(np.concatenate([np.uint64(77) ^ simhash._masks(64, 2)[rng.choice(2016, 90)],
                                    rng.integers(0, 2**63, 50, dtype="u8")]))
     whole, parts = [], []
-    simhash.bucket_links(fp, np.full(len(fp), 2), 64, whole)
+    simhash.bucket_links(fp, np.full(len(fp), 2), 64, 4, whole)
     monkeypatch.setattr(simhash, "EXPAND", 40_000)
-    simhash.bucket_links(fp, np.full(len(fp), 2), 64, parts)
+    monkeypatch.setattr(simhash, "PARTS", 3)
+    simhash.bucket_links(fp, np.full(len(fp), 2), 64, 4, parts)
+    assert len(parts) < 3
     a, b = (simhash.forest(np.concatenate(x)) for x in (whole, parts))
     assert (a == b).all() and len(a)
 
