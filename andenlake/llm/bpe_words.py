@@ -3,6 +3,9 @@ of chunks. Used by the encoder and by the packer."""
 
 from __future__ import annotations
 
+import functools
+import re
+import struct
 import unicodedata
 
 import numpy as np
@@ -21,7 +24,40 @@ def byte_letters() -> list[str]:
     return [chr(b if b in own else next(free)) for b in range(256)]
 
 
-class ChunkTable(dict):
+class Remembered(dict):
+    """key -> ``made(key)``, made on demand; starts anew beyond ``limit`` keys."""
+
+    def __init__(self, limit: int):
+        super().__init__()
+        self.limit = limit
+
+    def made(self, key: str) -> bytes:
+        raise NotImplementedError
+
+    def __missing__(self, key: str) -> bytes:
+        ids = self.made(key)
+        if len(self) > self.limit:
+            self.clear()
+        self[key] = ids
+        return ids
+
+
+class WordTable(Remembered):
+    """word (normalised, as cut) -> ids as little-endian uint32 bytes, by the merges."""
+
+    def __init__(self, model, limit: int):
+        super().__init__(limit)
+        self.tokenize = model.tokenize
+        self.letters = byte_letters()
+
+    def made(self, key: str) -> bytes:
+        mapped = key if key.isascii() and key.isprintable() else "".join(
+            [self.letters[b] for b in key.encode()])
+        ids = [t.id for t in self.tokenize(mapped)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+
+class ChunkTable(Remembered):
     """chunk -> ids as little-endian uint32 bytes, filled on demand.
 
     A chunk is normalised (NFC, lower case) and cut into words as the tokenizer
@@ -32,31 +68,25 @@ class ChunkTable(dict):
     def __init__(self, path: str, limit: int = CACHE):
         import regex
         from tokenizers import Tokenizer
+        super().__init__(limit)
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.find = regex.compile(
             r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+").findall
-        self.letters = byte_letters()
-        self.words: dict[str, bytes] = {}
+        self.find_ascii = re.compile(
+            r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+").findall
+        self.words = WordTable(self.tokenizer.model, limit)
         self.alike: set[str] = set()
         self.apart: set[str] = set()
-        self.limit = limit
-
-    def word(self, word: str) -> bytes:
-        ids = self.words.get(word)
-        if ids is None:
-            mapped = word if word.isascii() and word.isprintable() else "".join(
-                self.letters[b] for b in word.encode())
-            ids = np.array([t.id for t in self.tokenizer.model.tokenize(mapped)], "<u4").tobytes()
-            if len(self.words) > self.limit:
-                self.words.clear()
-            self.words[word] = ids
-        return ids
 
     def cut(self, chunk: str) -> bytes:
-        """Ids of a chunk in NFC by this table's own cuts."""
-        lower = chunk.lower() if "Σ" not in chunk else "".join(c.lower() for c in chunk)
-        return b"".join(map(self.word, self.find(lower)))
+        """Ids of a chunk in NFC, or of any text in ASCII, by this table's own cuts."""
+        if chunk.isascii():
+            found = self.find_ascii(chunk.lower())
+        else:
+            found = self.find(chunk.lower() if "Σ" not in chunk
+                              else "".join(c.lower() for c in chunk))
+        return b"".join(map(self.words.__getitem__, found))
 
     def by_library(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -72,14 +102,10 @@ class ChunkTable(dict):
         (self.alike if same else self.apart).add(c)
         return same
 
-    def __missing__(self, chunk: str) -> bytes:
-        own = chunk.isascii() or unicodedata.is_normalized("NFC", chunk) and (
-            self.alike.issuperset(chunk) or all(map(self.agrees, chunk)))
-        ids = self.cut(chunk) if own else self.by_library(chunk)
-        if len(self) > self.limit:
-            self.clear()
-        self[chunk] = ids
-        return ids
+    def made(self, key: str) -> bytes:
+        own = key.isascii() or unicodedata.is_normalized("NFC", key) and (
+            self.alike.issuperset(key) or all(map(self.agrees, key)))
+        return self.cut(key) if own else self.by_library(key)
 
     def odd(self, text: str) -> bool:
         """Texts holding a special token's string, or rare control characters, are cut by
@@ -92,4 +118,12 @@ class ChunkTable(dict):
         """All ids of a text, as the tokenizer gives them without added special tokens."""
         if self.odd(text):
             return self.by_library(text)
+        if text.isascii():  # one cut for all of it: no match goes over white space
+            return self.cut(text)
         return b"".join(map(self.__getitem__, text.split()))
+
+
+@functools.lru_cache(maxsize=1)
+def chunk_table(path: str) -> ChunkTable:
+    """The table of a Python worker: what one task has filled serves the tasks after it."""
+    return ChunkTable(path)

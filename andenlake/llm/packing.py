@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from andenlake.llm.bpe_words import ChunkTable
+from andenlake.llm.bpe_words import chunk_table
 from andenlake.llm.shared import map_batches, stored, texts, tokenizer_path
 
 CAPACITY = 4096
@@ -55,7 +55,7 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACI
                     out[name].append(value)
         return {**out, "piece": pa.array(out["piece"], pa.int32())}
 
-    return map_batches(texts(docs), work, PIECES, lambda: ChunkTable(path))
+    return map_batches(texts(docs), work, PIECES, lambda: chunk_table(path))
 
 
 def best_configuration(value: np.ndarray, most: np.ndarray, unit: int = UNIT) -> np.ndarray:

@@ -6,7 +6,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from andenlake.llm import bpe
-from andenlake.llm.bpe_words import ChunkTable
+from andenlake.llm.bpe_words import ChunkTable, chunk_table
 from andenlake.llm.shared import tokenizer_path
 
 TEXTS = [None, "", "Hello, world's end!", "naïve Straße ΑΣ ΣΑΣ İstanbul", "á é̂",
@@ -67,3 +67,13 @@ def test_code_points_on_which_character_tables_differ(library):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert bpe.digests(df).collect() == [] and bpe.encode(df).collect() == []
+
+
+def test_ascii_text_is_cut_whole_and_words_are_kept_between_tasks(library):
+    table = ChunkTable(tokenizer_path(), limit=50)
+    for text in ("It's a test, isn't it?  We'LL see\x0b'S 'd''re 12a3\r\n\t(x_y)--" * 3, "", " \n",
+                 " ".join(f"w{i}abc,D{i}" for i in range(200)), "\x00\x7f~ a\x0cb"):
+        ids = library.encode(text, add_special_tokens=False).ids
+        assert list(memoryview(table.encode(text)).cast("I")) == ids
+    assert not table and 0 < len(table.words) <= 52  # no entry by chunk, and a bounded table
+    assert chunk_table(tokenizer_path()) is chunk_table(tokenizer_path())
