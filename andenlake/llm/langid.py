@@ -61,12 +61,17 @@ def vocabulary(path: str | None = None) -> list[bytes]:
     return list(dict.fromkeys(out))
 
 
-def lookup(pieces: list[bytes]) -> dict[bytes, int]:
-    """Length and number of each piece, as ``length << 20 | number``; what only begins a piece
-    is -1, so a search goes on there and stops elsewhere."""
-    table = {p[:n]: -1 for p in pieces for n in range(1, len(p))}
-    table.update((p, len(p) << 20 | i) for i, p in enumerate(pieces))
-    return table
+def lookup(pieces: list[bytes]) -> dict[int, list]:
+    """A tree of the pieces: for each byte the length and number of the piece that ends there,
+    as ``length << 20 | number`` (-1: none does), and the tree of what goes on from it."""
+    root = {}
+    for i, piece in enumerate(pieces):
+        node, entry = root, None
+        for byte in piece:
+            entry = node.setdefault(byte, [-1, {}])
+            node = entry[1]
+        entry[0] = len(piece) << 20 | i
+    return root
 
 
 def words_of(text: str) -> list[str]:
@@ -76,19 +81,20 @@ def words_of(text: str) -> list[str]:
 class Lattice:
     """All segmentations of a batch of words, as edges between byte positions."""
 
-    def __init__(self, words: list[str], pieces: dict[bytes, int]):
+    def __init__(self, words: list[str], pieces: dict[int, list]):
         edges, first = [], 0
         starts, lengths = [], []
-        get, add = pieces.get, edges.append
+        add = edges.append
         for word in words:
             raw = word.encode() + END
             n = len(raw)
             for i in range(n - 1):
-                place = first + i << 40
-                for j in range(i + 1, n + 1):
-                    k = get(raw[i:j])
-                    if k is None:
+                place, node = first + i << 40, pieces
+                for byte in raw[i:]:
+                    entry = node.get(byte)
+                    if entry is None:
                         break
+                    k, node = entry
                     if k >= 0:
                         add(place + k)
             starts.append(first)
@@ -99,15 +105,13 @@ class Lattice:
         target = source + (packed >> 20 & 0xFFFFF)
         self.starts, self.lengths = np.array(starts, "i8"), np.array(lengths, "i8")
         self.ends = self.starts + self.lengths
-        own = self.starts[np.searchsorted(self.starts, source, "right") - 1]
-        level, begin = target - own, own - source
-        order = np.lexsort((target, level))
+        own = np.repeat(self.starts, self.lengths + 1)[source]
+        level = (target - own).astype("i2")  # LONGEST letters have at most 128 bytes
+        order = np.argsort(level, kind="stable")  # in a level the words' order is the targets'
         self.source, self.target = source[order], target[order]
         self.piece = packed[order] & 0xFFFFF
         self.bounds = np.flatnonzero(np.diff(level[order], prepend=-1, append=-1))
-        begin = begin[order]  # backwards: edges by the place they leave, last first
-        self.back = np.lexsort((self.source, begin))
-        self.back_bounds = np.flatnonzero(np.diff(begin[self.back], prepend=1, append=1))
+        self.own = own[order]
 
     def forward(self, prob: np.ndarray) -> np.ndarray:
         """Summed probability of reaching each position; ``prob`` is pieces x languages."""
@@ -121,10 +125,14 @@ class Lattice:
         return alpha
 
     def backward(self, prob: np.ndarray) -> np.ndarray:
+        """From each position to the word's end: edges by the place they leave, last first."""
+        begin = self.own - self.source
+        back = np.lexsort((self.source, begin))
+        bounds = np.flatnonzero(np.diff(begin[back], prepend=1, append=1))
         beta = np.zeros((self.size, prob.shape[1]))
         beta[self.ends] = 1
-        for a, b in zip(self.back_bounds, self.back_bounds[1:]):
-            edge = self.back[a:b]
+        for a, b in zip(bounds, bounds[1:]):
+            edge = back[a:b]
             step = beta[self.target[edge]] * prob[self.piece[edge]]
             cut = np.flatnonzero(np.diff(self.source[edge], prepend=-1))
             beta[self.source[edge][cut]] = np.add.reduceat(step, cut, axis=0)

@@ -65,3 +65,23 @@ def test_nothing_to_learn_from(spark):
     df = spark.createDataFrame([(1, "text", None)], schema)
     assert [(r.lang_pred, r.score) for r in langid.identify(df).collect()] == [("und", 0.0)]
     assert langid.identify(spark.createDataFrame([], schema)).collect() == []
+
+
+def test_prediction_sorts_edges_by_level_only(monkeypatch):
+    """The order for the way back is made by training alone; edges keep the words' order in a level."""
+    pieces = langid.vocabulary()
+    prob = np.random.default_rng(2).random((len(pieces), 3))
+    model = langid.Model(["a", "b", "c"], pieces, prob / prob.sum(0))
+    words = ["el", "ñandú", "ñ" * 32, "\U00010400" * 4, "日本", "el"]
+    lattice = langid.Lattice(words, langid.lookup(pieces))
+    by_hand = np.lexsort((lattice.target, lattice.target - lattice.own))
+    assert (by_hand == np.arange(len(by_hand))).all()
+    uses = lattice.expected(model.scaled, np.ones((len(words), 3)))
+    length = sum(len(w.encode()) + 1 for w in words)
+    assert np.allclose((uses * model.bytes[:, None]).sum(0), length)  # the pieces cover every byte
+
+    def refuse(*_):
+        raise AssertionError("sorted for the way back")
+    monkeypatch.setattr(np, "lexsort", refuse)
+    got = langid.Lattice(words, langid.lookup(pieces)).log_likelihood(model.scaled)
+    assert got.shape == (6, 3) and (got[0] == got[5]).all() and np.isfinite(got).all()
