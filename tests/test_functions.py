@@ -34,6 +34,20 @@ def test_text_equals_python(spark, ours, python):
     assert column(spark, TEXTS, "string", ours) == [python(x) for x in TEXTS]
 
 
+NAMES = ["ana maria", "  ana  maria ", " ana", "ana ", "ana\tmaria", "josé  pérez", "josé pérez ", "",
+         " ", "  ", "x\x1cy", "a\u2003b", "\xa0a", "o'neil-smith 3b", "user 12", "12 user", "a1", "ab#c",
+         "CUSTOMER#0001", "semi cama", "MED POLISHED TIN", "dž ǆ x", "ﬁ x", "straße i̇"]
+
+
+def test_names_that_need_no_pattern(spark):
+    """Plain names take a way without a pattern, with the same outcome."""
+    assert column(spark, NAMES, "string", t.passenger_name) == [
+        " ".join(x.split()).upper() for x in NAMES]
+    df = spark.createDataFrame([("x",)], "x string")
+    plan = df.select(t.passenger_name("x"))._jdf.queryExecution().analyzed().toString().lower()
+    assert "case when" in plan and plan.index("case when") < plan.index("regexp_replace")
+
+
 def test_missing_text(spark):
     assert column(spark, [None], "string", t.title_case) == [None]
     assert column(spark, [None], "string", t.passenger_name) == ["SIN REGISTRO"]
